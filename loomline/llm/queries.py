@@ -58,7 +58,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op8_line_dedup"] = """
 WITH l AS (
-  SELECT doc_id, generate_subscripts(x, 1) AS at, unnest(x) AS line
+  SELECT doc_id, generate_subscripts(x, 1) AS pos, unnest(x) AS line
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)
 ), k AS (
   SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
@@ -68,6 +68,6 @@ WITH l AS (
   SELECT k.*, d.key IS NOT NULL AND k.doc_id <> d.keeper AS gone FROM k LEFT JOIN d ON k.key = d.key
 )
 SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE gone))::BIGINT AS n_dropped,
-  sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
