@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import line_dedup, packing, topk_search
+from loomline.llm import langid, line_dedup, packing, sketch_join, topk_search
 from loomline.session import read
 
 QUERIES: dict = {}
@@ -71,3 +71,34 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE gone))::BIGI
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+
+@_query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch_join.jaccard_components(read(spark, sf_dir, "documents"), width=3, num=9, den=10)
+
+
+ORACLES["op7_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS t FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(t) < 3 THEN array_to_string(t, ' ') ELSE t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] END AS g
+  FROM (SELECT doc_id, t, unnest(range(1, greatest(len(t) - 2, 1) + 1)) AS i FROM w WHERE len(t) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 90 * (x.n + y.n - i)
+), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, e.b FROM r JOIN e ON r.y = e.a
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT x, min(y) AS component_id FROM r GROUP BY x) c ON c.x = d.doc_id
+"""
+
+
+@_query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", langid.held_out("doc_id", 4, 2))
+    return langid.identify(docs, langid.train(docs, ~F.col("held_out")), ["doc_id", "held_out"])
