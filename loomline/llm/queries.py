@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import langid, line_dedup, packing, sketch_join, topk_search
+from loomline.llm import langid, line_dedup, packing, sketch_join, suffix_tree, topk_search
 from loomline.session import read
 
 QUERIES: dict = {}
@@ -102,3 +102,8 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT x, min(y) AS co
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").withColumn("held_out", langid.held_out("doc_id", 4, 2))
     return langid.identify(docs, langid.train(docs, ~F.col("held_out")), ["doc_id", "held_out"])
+
+
+@_query
+def op2_suffix_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_documents(read(spark, sf_dir, "documents"), langid.held_out("doc_id", 7, 2))
