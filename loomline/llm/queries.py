@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import langid, line_dedup, packing, sketch_join, suffix_tree, topk_search
+from loomline.llm import decontam, langid, line_dedup, packing, sketch_join, suffix_tree, topk_search
 from loomline.session import read
 
 QUERIES: dict = {}
@@ -107,3 +107,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op2_suffix_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_documents(read(spark, sf_dir, "documents"), langid.held_out("doc_id", 7, 2))
+
+
+@_query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = decontam.question_and_answer(read(spark, sf_dir, "benchmark"))
+    return decontam.contaminated(read(spark, sf_dir, "documents"), items)
