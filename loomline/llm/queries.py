@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import decontam, langid, line_dedup, packing, sketch_join, suffix_tree, topk_search
+from loomline.llm import decontam, langid, licenses, line_dedup, packing, quality, sharding, sketch_join, suffix_tree, topk_search
 from loomline.session import read
 
 QUERIES: dict = {}
@@ -113,3 +113,30 @@ def op2_suffix_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = decontam.question_and_answer(read(spark, sf_dir, "benchmark"))
     return decontam.contaminated(read(spark, sf_dir, "documents"), items)
+
+
+@_query
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_sharding"] = """
+WITH r AS (
+  SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes, ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT AS h FROM documents
+), s AS (
+  SELECT *, h >> (60 - d) AS p, sum(n_bytes) OVER (PARTITION BY d, h >> (60 - d)) AS total FROM r CROSS JOIN (SELECT unnest(range(0, 61)) AS d)
+)
+SELECT doc_id, n_bytes, d::INTEGER AS depth, p::BIGINT AS prefix, 0::BIGINT AS page, total::BIGINT AS shard_bytes, total > 1048576 AS oversize
+FROM s WHERE total <= 1048576 OR d = 60 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY d) = 1
+"""
+
+
+@_query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.floor(F.col("doc_id") / 100).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan_licenses(read(spark, sf_dir, "documents").withColumn("path", path), "doc_id", "path").withColumnRenamed("id", "doc_id")
+
+
+@_query
+def op10_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
