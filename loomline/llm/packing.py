@@ -4,9 +4,12 @@ Documents become token ids with one end id; overlong ones are first cut into ful
 random into bundles of a bounded number of pieces (as many bundles as the corpus needs), and each bundle is packed by
 best-fit decreasing: a segment tree over remaining capacities finds the tightest open window.
 
-Token ids come from the `tokenizers` library. Units between single spaces are encoded once and remembered in a bounded
-cache: the pre-tokenizer always breaks before a single space that has a non-space on both sides, so encoding the units
-apart gives the same ids as encoding the whole text.
+Token ids are those of the `tokenizers` library for the given file. Where the file is a byte-level BPE whose merges are
+ranked by id, plain texts (ASCII and Latin letters, on whose classes all Unicode versions agree) go through `tiktoken`
+with the file's own vocabulary: the same algorithm at a third of the cost. All other texts, and all files of other
+kinds, go through `tokenizers`: units between single spaces are encoded once and remembered in a bounded cache. The
+pre-tokenizer always breaks before a single space that has a non-space on both sides, so this gives the same ids as
+encoding the whole text.
 
 Defined cases: a null text is empty (one piece with the end id); repeated rows are packed each; extra columns are ignored.
 """
@@ -32,6 +35,37 @@ BUNDLE = 1 << 15
 #: Bounds of the unit cache of one worker.
 CACHE_UNITS, CACHE_CHARS = 400_000, 16_000_000
 _IRREGULAR = re.compile(r"^\s|\s | \s| $")
+_PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ɏ]*")
+#: Fixed value: the published pre-tokenizer pattern of byte-level BPE.
+_BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_alphabet() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: itself if printable, else 256 and on in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def ranked(path: str):
+    """A tiktoken encoding with the file's vocabulary, or None if the file is not a byte-level BPE ranked by id."""
+    import json
+
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, pre = spec.get("model", {}), spec.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer")
+    if not plain or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+        return None
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ids = [model["vocab"].get("".join(m), -1) for m in merges]
+    if ids != sorted(set(ids)) or -1 in ids[:1]:
+        return None
+    added, byte = {t["content"] for t in spec.get("added_tokens", [])}, _byte_alphabet()
+    ranks = {bytes(byte[c] for c in t): i for t, i in model["vocab"].items() if t not in added}
+    return tiktoken.Encoding("file", pat_str=_BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
 
 
 class Encoder:
@@ -41,12 +75,13 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.ranked = ranked(path)
         self.forget()
 
     def forget(self) -> None:
         self.known: defaultdict = defaultdict()
         self.known.default_factory = self.known.__len__
-        self.flat, self.length, self.chars = np.empty(0, np.uint32), np.empty(0, np.int64), 0
+        self.flat, self.start, self.length, self.chars = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64), 0
 
     @staticmethod
     def units(text: str) -> list:
@@ -66,6 +101,12 @@ class Encoder:
         return out
 
     def encode(self, texts: list[str | None], end: int = END_ID) -> list[np.ndarray]:
+        """Little-endian 32-bit ids of each text, then the end id."""
+        plain = [bool(self.ranked and _PLAIN.fullmatch(t or "")) for t in texts]
+        other = iter(self._by_units([t for t, p in zip(texts, plain, strict=True) if not p]))
+        return [np.append(self.ranked.encode_to_numpy(t or "", disallowed_special=()) if p else next(other), end).astype("<u4") for t, p in zip(texts, plain, strict=True)]
+
+    def _by_units(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.known) > CACHE_UNITS or self.chars > CACHE_CHARS:
             self.forget()
         code, old = self.known.__getitem__, len(self.known)
@@ -83,11 +124,7 @@ class Encoder:
             n = self.length[c] if len(c) else c
             at = np.cumsum(n)
             total = int(at[-1]) if len(c) else 0
-            row = np.empty(total + 1, "<u4")
-            if total:
-                row[:total] = self.flat[np.repeat(self.start[c] - at + n, n) + np.arange(total)]
-            row[total] = end
-            out.append(row)
+            out.append(self.flat[np.repeat(self.start[c] - at + n, n) + np.arange(total)])
         return out
 
 
