@@ -5,7 +5,7 @@ templates as a sparse TF-IDF vector; words that no template has weigh as the rar
 its cosine. A line can reach the threshold only if it has one of the template's heaviest words (those without which the
 rest of the vector is too short), so only lines with such a word are weighed; they are found by one automaton.
 A file without a licence of its own takes that of the nearest directory above it that one is declared for: by licence
-files (LICENSE, COPYING, NOTICE and so on), and by files that open with a notice. Directories, not files, are joined
+files (LICENSE, COPYING, NOTICE and so on), and by files that open or end with a notice. Directories, not files, are joined
 with their ancestors.
 
 Defined cases: null and empty texts have no licence of their own; a null path is the root; of several notices in a file
@@ -117,7 +117,13 @@ class Matcher:
         return name, score, line
 
 
-def _scan(matcher, opening: bool):
+def _at_edge(text: str, line: int) -> bool:
+    """Whether nothing but white space stands before the line, or after it."""
+    lines = text.split("\n")
+    return not any(x.strip() for x in lines[:line]) or not any(x.strip() for x in lines[line + 1 :])
+
+
+def _scan(matcher, edges: bool):
     licence_file = re.compile(LICENCE_FILE)
 
     def run(batches):
@@ -129,17 +135,17 @@ def _scan(matcher, opening: bool):
                 name, score, line = m.scan(text, own)
                 names.append(name)
                 scores.append(score)
-                declares.append(name is not None and (own or opening and not any(x.strip() for x in text.split("\n", line)[:line])))
+                declares.append(name is not None and (own or edges and _at_edge(text, line)))
             yield pa.RecordBatch.from_arrays([b["id"], b["path"], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(declares, pa.bool_())], ["id", "path", "license", "score", "declares"])
 
     return run
 
 
-def scan_licenses(files: DataFrame, id_col: str, path_col: str, text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, opening: bool = True) -> DataFrame:
+def scan_licenses(files: DataFrame, id_col: str, path_col: str, text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, edges: bool = True) -> DataFrame:
     """id, license, score, origin (own, inherited, none) and declared_by for each row."""
     base = files.select(F.col(id_col).alias("id"), F.coalesce(F.col(path_col), F.lit("")).alias("path"), F.col(text_col).alias("text"))
     kind = dict(base.dtypes)["id"]
-    own = base.mapInArrow(_scan((templates, threshold), opening), f"id {kind}, path string, license string, score double, declares boolean")
+    own = base.mapInArrow(_scan((templates, threshold), edges), f"id {kind}, path string, license string, score double, declares boolean")
     own = own.withColumn("dir", F.regexp_extract("path", r"^(.*)/", 1)).drop("path")
 
 
