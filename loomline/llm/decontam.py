@@ -21,6 +21,7 @@ from __future__ import annotations
 import math
 from bisect import bisect_left
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -217,16 +218,38 @@ def question_and_answer(items: DataFrame, id_col: str = "item_id", text_col: str
     return items.select(F.col(id_col).alias("item_id"), F.regexp_extract(text, r"(?s)^(.*[.!?])\s+\S.*$", 1).alias("head"), text.alias("whole")).select("item_id", F.when(F.col("head") != "", F.col("head")).otherwise(F.col("whole")).alias("question"), F.when(F.col("head") != "", F.expr("substring(whole, length(head) + 1)")).otherwise("").alias("answer"))
 
 
-def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
-    """Pairs of a text and a test item (item_id, question, answer) found in it, with its best passage's figures."""
-    spark = docs.sparkSession
+def _groups(items: DataFrame):
+    """Items in groups of GROUP_TOKENS tokens, about, one broadcast at a time."""
+    sc = items.sparkSession.sparkContext
     known = items.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "question", "answer")
     tokens = known.agg(F.sum(F.size(F.split(F.concat_ws(" ", "question", "answer"), r"[\x20\x09-\x0D]+")))).first()[0] or 0
-    groups, found = max(1, -(-tokens // GROUP_TOKENS)), None
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    groups = max(1, -(-tokens // GROUP_TOKENS))
     for g in range(groups):
-        rows = known.where(F.pmod(F.xxhash64("item_id"), F.lit(groups)) == g).collect()  # GROUP_TOKENS tokens, about
-        group = spark.sparkContext.broadcast([(r.item_id, tx.words(r.question), tx.words(r.answer)) for r in rows])
-        here = texts.mapInArrow(_search(group, threshold, overlap), FOUND)
-        found = here if found is None else found.unionByName(here)
-    return found
+        rows = known.where(F.pmod(F.xxhash64("item_id"), F.lit(groups)) == g).collect()
+        yield sc.broadcast([(r.item_id, tx.words(r.question), tx.words(r.answer)) for r in rows])
+
+
+def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+    """Pairs of a text and a test item (item_id, question, answer) found in it, with its best passage's figures."""
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    found = [texts.mapInArrow(_search(group, threshold, overlap), FOUND) for group in _groups(items)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _without(group, text_col: str, threshold: float, overlap: float):
+    def run(batches):
+        built = indexes(group.value)
+        for b in tx.chunks(batches, text_col):
+            encoded = tx.encode(b.column(text_col).to_pylist())
+            keep = np.ones(b.num_rows, bool)
+            keep[[row[0] for index in built for row in index.search(*encoded, threshold, overlap)]] = False
+            yield b.filter(pa.array(keep))
+
+    return run
+
+
+def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+    """The rows of docs whose text holds no test item, with all their columns."""
+    for group in _groups(items):
+        docs = docs.mapInArrow(_without(group, text_col, threshold, overlap), docs.schema)
+    return docs
