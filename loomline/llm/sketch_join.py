@@ -30,6 +30,8 @@ from loomline.session import cut
 WIDTH, NUM, DEN = 5, 4, 5
 #: Parts beyond k+1, so that parts of few bits can be left out.
 SLACK = 0.06
+#: Bits of a sketch for each bit that linked sets may differ in.
+BITS = 32
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _SIG = "doc long, n long, cid long, band int, keys array<long>, own array<long>, next array<long>"
 
@@ -59,7 +61,8 @@ class Bands:
         return k + 1 + (int(np.ceil(SLACK * k)) if k else 0)
 
     def bits(self, band: int) -> int:
-        return 64 * max(1, -(-8 * self.errors(band) // 64))
+        """Enough for sketches of sets that just miss the similarity to differ in more bits than linked ones may."""
+        return 64 * max(1, -(-BITS * self.errors(band) // 64))
 
 
 def sketches(sets: list[np.ndarray], scheme: np.ndarray, bands: Bands) -> tuple[list[np.ndarray], list[np.ndarray]]:
