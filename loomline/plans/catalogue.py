@@ -14,3 +14,8 @@ def query(oracle: str | None = None):
         return f
 
     return add
+
+
+def load() -> None:
+    """Import the modules that register queries."""
+    from loomline.plans import queries_artifacts, queries_graph, queries_jobs  # noqa: F401

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def _lines(record: Column) -> Column:
     """Trimmed lines without blanks and comments."""
-    trimmed = F.transform(F.split(record, r"\r?\n"), F.trim)
+    trimmed = F.transform(F.split(record, r"\r?\n"), lambda x: F.trim(x))
     return F.filter(trimmed, lambda x: (x != "") & ~x.startswith("/*") & ~x.startswith("//"))
 
 
