@@ -11,6 +11,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bounds of the batches that go to Python workers: texts are long, and a batch is held by the JVM and by Python at once.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
 #: Used only where the cluster names no shared folder (tests, one machine).
 LOCAL_CHECKPOINT_DIR = "/tmp/checkpoints"
 
@@ -33,7 +36,12 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once for each context, unless they find it as the driver's environment says."""
+    """Make a session ready for Python workers: bounded batches, and this package on the executors.
+
+    The package is sent once for each context, unless the executors find it as the driver's environment says.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     sc, root = spark.sparkContext, Path(__file__).resolve().parent
     found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep), *site.getsitepackages()]
     if getattr(sc, "_loomline_shipped", False) or str(root.parent) in {os.path.realpath(p) for p in found if p}:

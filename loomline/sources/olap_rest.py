@@ -208,7 +208,9 @@ class OlapReader(DataSourceReader):
             return [Unit(a, x) for a, x in cubes]
         return [Unit(a, x, d["name"], i) for a, x in cubes for i, d in enumerate(c.dimensions(a, x))]
 
-    def read(self, p: Unit) -> Iterator[tuple]:
+    def read(self, p: Unit | None) -> Iterator[tuple]:
+        if p is None:  # no partition at all
+            return
         c, e, say = self.client(), self.entity, json.dumps
         if e == "applications":
             yield p.app, say(c.application(p.app))
