@@ -20,12 +20,15 @@ def _value(line: Column) -> Column:
     return F.trim(F.regexp_replace(line, r"^[^:]*:", ""))
 
 
-def _continued(name: str, sep: str) -> Column:
-    """The last value of a key, joined with the lines without a colon that follow it."""
-    at = F.array_max(F.transform("lines", lambda x, i: F.when(x.contains(":") & (_key(x) == name), i).otherwise(-1)))
+def _at(name: str) -> Column:
+    """Where the last value of a key stands, or -1."""
+    return F.array_max(F.transform("lines", lambda x, i: F.when(x.contains(":") & (_key(x) == name), i).otherwise(-1)))
+
+
+def _continued(at: Column, sep: str) -> Column:
+    """The value at a place, joined with the lines without a colon that follow it."""
     rest = F.filter("lines", lambda x, i: (i > at) & ~x.contains(":"))
-    value = _value(F.element_at("lines", (at + 1).cast("int")))
-    return F.when(at >= 0, F.array_join(F.concat(F.array(value), rest), sep))
+    return F.when(at >= 0, F.array_join(F.concat(F.array(_value(F.get("lines", at))), rest), sep))
 
 
 def parse_jil(files: DataFrame, file: str = "file", content: str = "content", order: str = "ord") -> DataFrame:
@@ -38,13 +41,15 @@ def parse_jil(files: DataFrame, file: str = "file", content: str = "content", or
     opened = F.regexp_replace(F.col(content), r"(?im)^([ \t]*insert_job[ \t]*:[ \t]*\S+)[ \t]+(job_type[ \t]*:)", "$1\n$2")
     records = F.split(opened, r"(?im)^(?=[ \t]*insert_job[ \t]*:)")
     df = files.select(F.col(file).alias("file"), F.col(order).alias("ord"), F.posexplode(records).alias("at", "record"))
-    df = df.where(F.col("record").rlike(r"(?i)^[ \t]*insert_job[ \t]*:")).withColumn("lines", _lines(F.col("record")))
+    df = df.where(F.col("record").rlike(r"(?i)^[ \t]*insert_job[ \t]*:[ \t]*\S"))
+    # one-element explodes: what they make is worked out once, however often it is used further up
+    df = df.select("file", "ord", "at", F.explode(F.array(_lines(F.col("record")))).alias("lines"))
     pairs = F.transform(F.filter("lines", lambda x: x.contains(":")), lambda x: F.struct(_key(x).alias("key"), _value(x).alias("value")))
-    df = df.withColumn("pairs", pairs)
-    last = F.filter("pairs", lambda e, i: ~F.exists(F.slice("pairs", i + 2, F.size("pairs")), lambda x: x["key"] == e["key"]))
-    df = df.withColumn("raw", F.map_from_entries(last))
+    df = df.select("*", F.explode(F.array(F.struct(pairs.alias("pairs"), _at("command").alias("command"), _at("condition").alias("condition")))).alias("x"))
+    later = lambda e, i: F.exists(F.slice("x.pairs", i + 2, F.size("x.pairs")), lambda y: y["key"] == e["key"])
+    df = df.select("*", F.explode(F.array(F.map_from_entries(F.filter("x.pairs", lambda e, i: ~later(e, i))))).alias("raw"))
     get = lambda k: F.nullif(F.try_element_at("raw", F.lit(k)), F.lit(""))
-    return df.select("file", "ord", "at", get("insert_job").alias("name"), F.coalesce(get("job_type"), F.lit("")).alias("job_type"), get("box_name").alias("box_name"), _continued("command", "\n").alias("command"), _continued("condition", " ").alias("condition"), "raw").where("name is not null")
+    return df.select("file", "ord", "at", get("insert_job").alias("name"), F.coalesce(get("job_type"), F.lit("")).alias("job_type"), get("box_name").alias("box_name"), _continued(F.col("x.command"), "\n").alias("command"), _continued(F.col("x.condition"), " ").alias("condition"), "raw")
 
 
 def last_definitions(jobs: DataFrame) -> DataFrame:
