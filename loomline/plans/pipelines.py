@@ -146,6 +146,45 @@ def session_lineage(texts: DataFrame, platform: str = "oracle", env: str = "PROD
     return run.select("folder", "workflow", "session", "mapping").distinct().join(edges, ["folder", "mapping"]), missing
 
 
+def repository(texts: DataFrame, platform: str = "oracle", env: str = "PROD", db: str | None = None, schema: str | None = None, flow_platform: str = "informatica", flow_env: str = "PROD") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The log, the summary and the sessions without a mapping of exported folders.
+
+    Folders are flows; workflows, their sessions (in breadth-first order) and each session's transformations (in
+    topological order) are jobs; each target dataset gets one lineage aspect with its columns, and each procedure called
+    is a job and a dataset.
+    """
+    found = cut(mapping_xml.read_folders(texts))
+    edges, missing = session_lineage(texts, platform, env, db, schema)
+    edges = cut(edges)
+    flow = urns.flow_urn(flow_platform, F.col("folder"), flow_env)
+    parts = [records.flow_info(found.select("folder").distinct(), flow, F.col("folder"), "Informatica folder", phase=0, k1=F.col("folder"))]
+    order = cut(workflow_order(texts))
+    flows = order.select("folder", "workflow").distinct()
+    parts.append(records.job_info(flows, urns.job_urn(flow, F.col("workflow")), F.col("workflow"), "INFORMATICA_WORKFLOW", flow, phase=1, k1=F.col("folder"), k2=F.col("workflow")))
+    sessions = order.withColumnRenamed("node", "session").join(mapping_xml.sessions(found), ["folder", "session"])
+    session = urns.job_urn(flow, F.concat_ws(".", "workflow", "session"))
+    props = _map(mapping=F.col("mapping"), position=F.col("position"), connections=F.array_join("connections", ";"))
+    parts.append(records.job_info(sessions, session, F.col("session"), "INFORMATICA_SESSION", flow, props, phase=2, k1=F.col("folder"), k2=F.concat_ws(".", "workflow", F.lpad(F.col("position").cast("string"), 9, "0"))))
+    name = lambda i: F.concat_ws("\x1f", "folder", "mapping", i)
+    inst = mapping_xml.instances(found).withColumn("node", name("instance"))
+    nodes = inst.groupBy("node").agg(F.min("instance").alias("ord"))
+    steps = graph.topological_order(nodes, mapping_xml.connectors(found).select(name("from_instance").alias("src"), name("to_instance").alias("dst")))
+    work = inst.where("type = 'TRANSFORMATION'").join(steps.select("node", "level"), "node").join(sessions.select("folder", "workflow", "session", "mapping"), ["folder", "mapping"])
+    kind = F.concat(F.lit("INFORMATICA_"), F.upper(F.replace(scalars.transformation_kind(F.coalesce("kind", F.lit(""))), F.lit(" "), F.lit("_"))))
+    parts.append(records.job_info(work, urns.job_urn(flow, F.concat_ws(".", "workflow", "session", "instance")), F.col("instance"), kind, flow, _map(level=F.col("level")), phase=3, k1=F.col("folder"), k2=F.concat_ws(".", "workflow", "session", "instance")))
+    up, down = urns.dataset_urn(platform, F.col("source_dataset"), env), urns.dataset_urn(platform, F.col("target_dataset"), env)
+    by_column = edges.groupBy("target_dataset", "target_column").agg(F.array_sort(F.collect_set(urns.field_urn(up, F.col("source_column")))).alias("ups"), F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("op"), F.min("confidence").alias("confidence"))
+    one = F.struct(F.col("ups").alias("upstreams"), F.array(urns.field_urn(down, F.col("target_column"))).alias("downstreams"), F.col("op").alias("transformOperation"), F.col("confidence").alias("confidenceScore"))
+    fine = by_column.groupBy("target_dataset").agg(F.array_sort(F.collect_list(one)).alias("fine"))
+    sets = edges.groupBy("target_dataset").agg(F.array_sort(F.collect_set(up)).alias("ins")).join(fine, "target_dataset")
+    parts.append(records.upstream_lineage(sets, down, F.col("ins"), F.col("fine"), phase=4, k1=F.col("target_dataset")))
+    procedures = edges.where("procedure IS NOT NULL").select("procedure").distinct()
+    job, dataset = urns.procedure_urns(F.col("procedure"), env)
+    parts.append(records.job_info(procedures, job, F.col("procedure"), "STORED_PROCEDURE", phase=5, k1=F.col("procedure")))
+    parts.append(records.dataset_properties(procedures, dataset, F.col("procedure"), phase=6, k1=F.col("procedure")))
+    return records.emit(parts, "infa"), lineage.summary(edges), missing
+
+
 def workflow_order(texts: DataFrame) -> DataFrame:
     """folder, workflow, node, ord, depth, position: tasks in breadth-first order of their links (Start included)."""
     found = mapping_xml.read_folders(texts)

@@ -6,6 +6,8 @@ import copy
 import json
 import re
 from dataclasses import dataclass, field
+from functools import partial
+from itertools import islice
 from pathlib import Path
 
 import yaml
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.operators import records
+from loomline.sources.olap_rest import http
 
 
 class RecipeError(ValueError):
@@ -59,7 +62,7 @@ def camel_to_snake(config: dict) -> dict:
 
 
 def write(log: DataFrame, sink: dict) -> None:
-    """Write a log: parquet, json (files), table, noop, or foreach (a function that gets each partition's rows)."""
+    """Write a log: parquet, json or file, table, kafka, rest, noop, or foreach (a function that gets each partition's rows)."""
     kind, config = sink.get("type", "noop"), sink.get("config") or {}
     if kind == "noop":
         log.write.format("noop").mode("overwrite").save()
@@ -67,12 +70,27 @@ def write(log: DataFrame, sink: dict) -> None:
         log.write.mode(config.get("mode", "overwrite")).format("json" if kind == "file" else kind).save(config.get("path") or config["filename"])
     elif kind == "table":
         log.write.mode(config.get("mode", "append")).saveAsTable(config["name"])
+    elif kind == "kafka":
+        value = F.to_json(F.struct("seq", "workunit_id", "entity_urn", "entity_type", "aspect_name", "payload"))
+        log.select(F.col("entity_urn").alias("key"), value.alias("value")).write.format("kafka").options(**config).save()
+    elif kind == "rest":
+        log.foreachPartition(partial(post_rows, config["server"], config.get("batch", 100), config.get("headers") or {}))
     elif kind == "foreach":
         log.foreachPartition(config["function"])
     else:
         raise RecipeError(f"unknown sink {kind}")
 
 
+def post_rows(server: str, batch: int, headers: dict[str, str], rows, send=http) -> None:
+    """POST rows as JSON lists of a bounded number. The receiver upserts, so a task that runs again does no harm."""
+    rows = iter(rows)
+    while now := list(islice(rows, batch)):
+        body = json.dumps([r.asDict() for r in now]).encode()
+        status, answer = send("POST", server, {"Content-Type": "application/json", **headers}, body, 30)
+        if status >= 400:
+            raise RecipeError(f"{server} answered {status}: {answer[:200]!r}")
+
+
 def run(spark: SparkSession, recipe: dict, dry_run: bool = False, preview: int | None = None, report_to: str | None = None) -> tuple[DataFrame, Report]:
     """Run a recipe. dry_run writes nowhere; preview keeps the first rows only; the recipe itself is never changed."""
     recipe = copy.deepcopy(recipe)

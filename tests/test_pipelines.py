@@ -117,3 +117,36 @@ def test_stream_source(spark):
     q.processAllAvailable()
     q.stop()
     assert spark.table("seen").count() == 4
+
+
+def test_repository(spark):
+    from test_sources import XML
+
+    x = XML.replace("</MAPPING>", '<CONNECTOR FROMINSTANCE="s1" FROMFIELD="A" TOINSTANCE="r1" TOFIELD="I"/><CONNECTOR FROMINSTANCE="r1" FROMFIELD="O" TOINSTANCE="t1" TOFIELD="Z"/><TABLEATTRIBUTE NAME="Pre SQL" VALUE="call own.p(1)"/></MAPPING><SESSION NAME="a" MAPPINGNAME="M"/><SESSION NAME="b" MAPPINGNAME="none"/>')
+    log, summary, missing = pipelines.repository(spark.createDataFrame([("f.xml", x)], "file string, content string"))
+    rows = {(r.aspect_name, r.entity_urn): json.loads(r.payload) for r in records.latest(log).collect()}
+    flow = "urn:li:dataFlow:(informatica,F,PROD)"
+    assert rows["dataJobInfo", f"urn:li:dataJob:({flow},W.a)"]["customProperties"]["position"] == "2"
+    assert rows["dataJobInfo", f"urn:li:dataJob:({flow},W.a.r1)"]["customProperties"] == {"level": "1"}
+    up = rows["upstreamLineage", "urn:li:dataset:(urn:li:dataPlatform:oracle,T,PROD)"]["fineGrainedLineages"]
+    assert sorted((f["transformOperation"], f["confidenceScore"]) for f in up) == [("CONNECTOR", 1.0), ("STORED_PROCEDURE", 0.95)]
+    assert ("dataJobInfo", "urn:li:dataJob:(urn:li:dataFlow:(oracle,stored_procedures,PROD),own.p)") in rows
+    assert [r.session for r in missing.collect()] == ["b"]
+    s = summary.first()
+    assert (s.total_edges, s.procedures, s.mappings) == (2, 1, 1)
+
+
+def test_rest_sink_batches():
+    class Row(dict):
+        asDict = dict.copy
+
+    sent = []
+
+    def send(method, url, headers, body, timeout):
+        sent.append(json.loads(body))
+        return 200, b""
+
+    recipes.post_rows("http://x", 2, {}, (Row(n=i) for i in range(5)), send)
+    assert [len(s) for s in sent] == [2, 2, 1]
+    with pytest.raises(recipes.RecipeError):
+        recipes.post_rows("http://x", 2, {}, [Row(n=1)], lambda *a: (500, b"no"))
