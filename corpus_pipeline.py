@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import decontam, langid, line_dedup, packing, sketch_join
+from loomline.llm import decontam, langid, line_dedup, packing, prefilter, sketch_join
 from loomline.llm.queries import tokenizer_path
 from loomline.session import cut, read, ship
 
@@ -49,8 +49,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near duplicates: that with the least id."""
     ship(spark)
     groups = sketch_join.jaccard_components(docs)
-    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs.doc_id == F.col("__gone"), "left_anti")
+    return prefilter.without(docs, "doc_id", cut(groups.where("doc_id != component_id").select("doc_id").distinct()))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

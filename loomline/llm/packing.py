@@ -79,6 +79,8 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
+        if hasattr(self, "known"):
+            self.known.default_factory = None  # no cycle: the old cache goes at once
         self.known: defaultdict = defaultdict()
         self.known.default_factory = self.known.__len__
         self.flat, self.start, self.length, self.chars = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64), 0

@@ -3,13 +3,15 @@
 Every text's set of word shingles is XOR-hashed into a bit sketch; two sets differ in at least as many elements as
 their sketches differ in bits. Sets linked at similarity num/den differ in at most (a+b)(den-num)/(den+num) elements,
 so with a size band's largest set U they differ in at most k = 2U(den-num)/(den+num) bits. The sketch of a band is cut
-into p > k parts; two linked sets agree on p-k parts at least (pigeonhole). A set leaves out its parts of few bits as
-long as those are fewer than p-k, so empty parts, which agree by chance, are not joined on. Sets meet others of their
-own band and, where a partner may be larger, of the next.
+into more than k/2 groups of three parts; by the pigeonhole principle two linked sets differ in one bit at most in some
+group, so they agree on two of its parts, and these are the key they meet on. With spare groups a set can leave out keys
+of few bits, as long as no more than the spare groups have any: empty and nearly empty keys, which agree by chance or by
+one common passage, are not joined on. Sets meet others of their own band and, where a partner may be larger, of the next.
 
-Equal sets form one class before anything is joined. In a bucket of equal parts every class is compared with the
-bucket's least class only; after linking those, classes of a bucket that are still in different components are compared
-with each other. Pairs pass the sketches' Hamming bound, then an exact count over the sets of both.
+Equal sets form one class before anything is joined. In a bucket of equal parts the first RUN classes are compared with
+each other, and every later one with the first; after linking those, classes of a longer bucket that are still in
+different components are compared with each other, too. Pairs pass the sketches' Hamming bound, then an exact count over
+the sets of both.
 
 Defined cases: null texts and texts without words have an empty set and are linked with nothing; a text of fewer words
 than a shingle is one shingle; rows that repeat an id are rows of their own with that id; rows without an id link
@@ -25,15 +27,19 @@ from pyspark.sql import functions as F
 
 from loomline.llm import text as tx
 from loomline.llm.components import components
-from loomline.session import cut
+from loomline.llm.prefilter import maybe_among
+from loomline.session import cut, sweep
 
 WIDTH, NUM, DEN = 5, 4, 5
-#: Parts beyond k+1, so that parts of few bits can be left out.
-SLACK = 0.06
-#: Bits of a sketch for each bit that linked sets may differ in.
-BITS = 32
+#: Share of spare groups.
+SPARE = 0.15
+#: Classes of a bucket that are all compared with each other.
+RUN = 8
+#: Bits of a sketch for each bit that linked sets may differ in, and at least.
+RATE, LEAST_BITS = 4, 512
+_PAIRS = ((0, 1), (0, 2), (1, 2))
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
-_SIG = "doc long, n long, cid long, band int, keys array<long>, own array<long>, next array<long>"
+_INFO = "band int, own array<long>, next array<long>"
 
 
 class Bands:
@@ -56,51 +62,66 @@ class Bands:
     def errors(self, band: int) -> int:
         return 2 * (self.start[band + 1] - 1) * (self.den - self.num) // (self.den + self.num)
 
-    def parts(self, band: int) -> int:
-        k = self.errors(band)
-        return k + 1 + (int(np.ceil(SLACK * k)) if k else 0)
+    def spare(self, band: int) -> int:
+        return int(np.ceil(SPARE * (self.errors(band) // 2)))
+
+    def groups(self, band: int) -> int:
+        """Of this many groups all but errors/2 differ in one bit at most."""
+        return self.errors(band) // 2 + 1 + self.spare(band)
 
     def bits(self, band: int) -> int:
-        """Enough for sketches of sets that just miss the similarity to differ in more bits than linked ones may."""
-        return 64 * max(1, -(-BITS * self.errors(band) // 64))
+        return max(LEAST_BITS, 64 * -(-RATE * self.errors(band) // 64))
+
+
+def _laid_out(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All elements in a row, the set of each, and the hash that places it in a sketch."""
+    flat = np.concatenate(sets)
+    return flat, np.repeat(np.arange(len(sets)), [len(s) for s in sets]), tx.mix(flat ^ _GOLD)
 
 
-def sketches(sets: list[np.ndarray], scheme: np.ndarray, bands: Bands) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For each set under its scheme: the keys of the parts that it joins on, and its bit sketch."""
+def bit_sketches(sets: list[np.ndarray], scheme: np.ndarray, bands: Bands) -> list[np.ndarray]:
+    """The bit sketch of each set under its scheme, as longs."""
     if not sets:
-        return [], []
-    size = np.asarray([len(s) for s in sets])
-    k = np.asarray([bands.errors(b) for b in scheme.tolist()])
-    p = np.asarray([bands.parts(b) for b in scheme.tolist()])
+        return []
+    _, of, place = _laid_out(sets)
     bits = np.asarray([bands.bits(b) for b in scheme.tolist()])
-    flat = np.concatenate(sets)
-    of = np.repeat(np.arange(len(sets)), size)
-    place = tx.mix(flat ^ _GOLD)
-    # part: the high half of the hash scaled to p; code of the bit: another mix of the whole hash
+    spot = (place & np.uint64(0xFFFFFFFF)) * bits[of].astype(np.uint64) >> np.uint64(32)
+    first = np.cumsum(bits) - bits
+    parity = (np.bincount(first[of] + spot.astype(np.int64), minlength=int(bits.sum())) & 1).astype(np.uint8)
+    words, ends = np.packbits(parity).view(np.int64), np.cumsum(bits) // 64
+    return [words[z - n // 64 : z] for z, n in zip(ends.tolist(), bits.tolist(), strict=True)]
+
+
+def part_keys(sets: list[np.ndarray], scheme: np.ndarray, bands: Bands) -> list[np.ndarray]:
+    """The keys of the parts that each set joins on under its scheme: hashes of the parts' sketches."""
+    if not sets:
+        return []
+    flat, of, place = _laid_out(sets)
+    groups = np.asarray([bands.groups(b) for b in scheme.tolist()])
+    p = 3 * groups
+    # part: the high half of the hash scaled to their number; code of a bit: another mix of the whole hash
     part = ((place >> np.uint64(32)) * p[of].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-    base = np.cumsum(p) - p
-    cell = base[of] + part
+    cell = (np.cumsum(p) - p)[of] + part
     order = np.argsort(cell, kind="stable")
     cells = cell[order]
     heads = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
     code, count = np.zeros(int(p.sum()), np.uint64), np.zeros(int(p.sum()), np.int64)
     code[cells[heads]] = np.bitwise_xor.reduceat(tx.mix(flat + _GOLD)[order], heads)
     count[cells[heads]] = np.diff(np.r_[heads, len(cells)])
-    owner = np.repeat(np.arange(len(sets)), p)
-    keys = tx.mix(code ^ tx.mix((np.arange(len(code)) - base[owner]).astype(np.uint64) * _GOLD + scheme[owner].astype(np.uint64)))
-    spot = (place & np.uint64(0xFFFFFFFF)) * bits[of].astype(np.uint64) >> np.uint64(32)
-    bit_base = np.cumsum(bits) - bits
-    parity = (np.bincount(bit_base[of] + spot.astype(np.int64), minlength=int(bits.sum())) & 1).astype(np.uint8)
-    words, ends = np.packbits(parity).view(np.int64), np.cumsum(bits) // 64
-    out_keys, out_bits = [], []
+    # a group's three keys leave out one of its parts each
+    code, count = code.reshape(-1, 3), count.reshape(-1, 3)
+    start = np.cumsum(groups) - groups
+    owner = np.repeat(np.arange(len(sets)), groups)
+    name = tx.mix((np.arange(len(code)) - start[owner]).astype(np.uint64) * _GOLD + scheme[owner].astype(np.uint64))
+    keys = np.stack([tx.mix(tx.mix(code[:, i] + name + np.uint64(i)) * _GOLD + code[:, j] + np.uint64(j)) for i, j in _PAIRS], axis=1)
+    weight = np.stack([count[:, i] + count[:, j] for i, j in _PAIRS], axis=1)
+    least, out = weight.min(axis=1), []
     for i in range(len(sets)):
-        mine = count[base[i] : base[i] + p[i]]
-        spare = p[i] - k[i] - 1
-        few = np.cumsum(np.bincount(np.minimum(mine, size[i])))
-        least = int(np.searchsorted(few, spare, side="right"))  # parts with fewer bits are spare or fewer in all
-        out_keys.append(keys[base[i] : base[i] + p[i]][mine >= least].view(np.int64))
-        out_bits.append(words[ends[i] - bits[i] // 64 : ends[i]])
-    return out_keys, out_bits
+        mine = slice(start[i], start[i] + groups[i])
+        few = np.cumsum(np.bincount(least[mine]))
+        floor = int(np.searchsorted(few, bands.spare(int(scheme[i])), side="right"))  # groups with a key of fewer bits are spare
+        out.append(keys[mine][weight[mine] >= floor].view(np.int64))
+    return out
 
 
 def _sets(texts: list[str | None], width: int) -> list[np.ndarray]:
@@ -117,39 +138,72 @@ def class_id(s: np.ndarray) -> int:
     return int(tx.mix(ends[:1] + ends[1:] * _GOLD + np.uint64(len(s))).view(np.int64)[0])
 
 
-def _signatures(width: int, bands: Bands):
+def _schemes(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """The band of each set, and which sets may have partners in the next."""
+    n = np.asarray([len(x) for x in sets], np.int64)
+    band = bands.of(n)
+    return band, np.flatnonzero(bands.reaches_next(n, band))
+
+
+def _info(sets: list[np.ndarray], bands: Bands) -> tuple[list[int], list, list]:
+    """Band, and sketches under the own and the next band's scheme (None where there can be no partner)."""
+    if not sets:
+        return [], [], []
+    band, further = _schemes(sets, bands)
+    after: list = [None] * len(sets)
+    for i, x in zip(further.tolist(), bit_sketches([sets[i] for i in further.tolist()], band[further] + 1, bands), strict=True):
+        after[i] = x
+    return band.tolist(), bit_sketches(sets, band, bands), after
+
+
+_LONGS = pa.list_(pa.int64())
+
+
+def _classes(width: int, bands: Bands):
+    """doc, n, cid for each text; the first of a class in a task also has the class's sketches."""
+
     def run(batches):
-        seen: set[int] = set()  # a task sends the keys of a class once
+        seen: set[int] = set()
         for b in tx.chunks(batches, "_text"):
             sets = _sets(b["_text"].to_pylist(), width)
-            n = np.asarray([len(s) for s in sets], np.int64)
-            cid = [class_id(s) for s in sets]
-            fresh = []
-            for i, c in enumerate(cid):
-                if n[i] and c not in seen:
-                    seen.add(c)
-                    fresh.append(i)
-            band = np.where(n > 0, bands.of(np.maximum(n, 1)), -1)
-            keys, own, after = [None] * len(sets), [None] * len(sets), [None] * len(sets)
-            at = np.asarray(fresh, np.int64)
-            further = at[bands.reaches_next(n[at], band[at])] if len(at) else at
-            got = sketches([sets[i] for i in [*fresh, *further.tolist()]], np.r_[band[at], band[further] + 1], bands)
-            for j, i in enumerate(fresh):
-                keys[i], own[i] = got[0][j], got[1][j]
-            for j, i in enumerate(further.tolist(), len(fresh)):
-                keys[i], after[i] = np.concatenate([keys[i], got[0][j]]), got[1][j]
-            arrays = [b["_doc"], pa.array(n), pa.array(cid, pa.int64()), pa.array(band.astype(np.int32)), pa.array(keys, pa.list_(pa.int64())), pa.array(own, pa.list_(pa.int64())), pa.array(after, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc", "n", "cid", "band", "keys", "own", "next"])
+            cid = [class_id(x) for x in sets]
+            first = [i for i, (x, c) in enumerate(zip(sets, cid, strict=True)) if len(x) and not (c in seen or seen.add(c))]
+            place = {i: j for j, i in enumerate(first)}
+            info = [[values[place[i]] if i in place else None for i in range(len(sets))] for values in _info([sets[i] for i in first], bands)]
+            arrays = [b["_doc"], pa.array([len(x) for x in sets], pa.int64()), pa.array(cid, pa.int64()), *[pa.array(x, t) for x, t in zip(info, (pa.int32(), _LONGS, _LONGS), strict=True)]]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc", "n", "cid", "band", "own", "next"])
+
+    return run
+
+
+def _keys(width: int, bands: Bands):
+    """cid, keys for the first text of each class in a task."""
+
+    def run(batches):
+        seen: set[int] = set()
+        for b in tx.chunks(batches, "_text"):
+            fresh = {c: x for x in _sets(b["_text"].to_pylist(), width) if len(x) and (c := class_id(x)) not in seen}
+            seen.update(fresh)
+            sets = list(fresh.values())
+            if not sets:
+                continue
+            band, further = _schemes(sets, bands)
+            keys = part_keys(sets, band, bands)
+            for i, x in zip(further.tolist(), part_keys([sets[i] for i in further.tolist()], band[further] + 1, bands), strict=True):
+                keys[i] = np.concatenate([keys[i], x])
+            yield pa.RecordBatch.from_arrays([pa.array(list(fresh), pa.int64()), pa.array(keys, _LONGS)], ["cid", "keys"])
 
     return run
 
 
 def _set_rows(width: int):
+    """Elements of the classes asked for."""
+
     def run(batches):
         for b in tx.chunks(batches, "_text"):
-            sets = _sets(b["_text"].to_pylist(), width)
-            right = [i for i, (s, c) in enumerate(zip(sets, b["cid"].to_pylist(), strict=True)) if class_id(s) == c]
-            yield pa.RecordBatch.from_arrays([pa.array([class_id(sets[i]) for i in right], pa.int64()), pa.array([sets[i].tobytes() for i in right], pa.binary())], ["cid", "elements"])
+            asked = b["cid"].to_pylist()
+            found = {c: x.tobytes() for x, c in zip(_sets(b["_text"].to_pylist(), width), asked, strict=True) if class_id(x) == c}
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], ["cid", "elements"])
 
     return run
 
@@ -182,43 +236,65 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """doc_id, n_shingles, component_id for each row: components of the links of similarity num/den or more."""
     bands = Bands(num, den)
     base = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text"))
-    sig = cut(base.mapInArrow(_signatures(width, bands), _SIG))
-    bucket = Window.partitionBy("key").orderBy("cid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    parts = sig.where("keys is not null").select("cid", F.explode("keys").alias("key"))
-    meet = cut(parts.withColumn("lead", F.first("cid").over(bucket)).where("cid != lead").distinct())
-    links = _links(base, sig, meet, width, num, den)
-    roots = components(links).withColumnsRenamed({"node": "cid"}) if links is not None else None
-    nodes = sig.select("doc", "n", "cid")
-    nodes = nodes.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid")) if roots is not None else nodes.withColumn("root", F.col("cid"))
-    least = nodes.where("n > 0").groupBy("root").agg(F.min("doc").alias("least"))
-    return nodes.join(least, "root", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
-
-
-def _links(base: DataFrame, sig: DataFrame, meet: DataFrame, width: int, num: int, den: int) -> DataFrame | None:
-    """Verified links (a, b) between classes, enough of them for the components."""
-    wanted = meet.select("cid").union(meet.select("lead")).distinct()
-    one = sig.where("keys is not null").select("cid", "doc", "n", "band", "own", "next")
-    any_row = F.min(F.struct(F.col("doc").isNull().alias("nameless"), "doc", "n", "band", "own", "next"))
-    info = cut(one.join(wanted, "cid", "left_semi").groupBy("cid").agg(any_row.alias("s")).select("cid", "s.doc", "s.n", "s.band", "s.own", "s.next"))
-    if not info.take(1):
-        return None
-    texts = base.join(info.select("doc", "cid"), F.col("_doc").eqNullSafe(F.col("doc"))).select("_text", "cid")
-    elements = cut(texts.mapInArrow(_set_rows(width), "cid long, elements binary").dropDuplicates(["cid"]))
+    nodes = cut(base.mapInArrow(_classes(width, bands), f"doc long, n long, cid long, {_INFO}"))
+    runs = cut(_runs(base, width, bands))
+    sweep(docs.sparkSession)
+    links = _links(base, nodes, runs, bands, width, num, den)
+    out = nodes.select("doc", "n", "cid")
+    if links is None:
+        out = out.withColumn("root", F.col("cid"))
+    else:
+        out = out.join(components(links).withColumnsRenamed({"node": "cid"}), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    least = out.where("n > 0").groupBy("root").agg(F.min("doc").alias("least"))
+    return out.join(least, "root", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
+
+
+def _runs(base: DataFrame, width: int, bands: Bands) -> DataFrame:
+    """key, cid, lead, rank: classes by key where there are several, numbered, with the first of them."""
+    bucket = Window.partitionBy("key").orderBy("cid")
+    parts = base.mapInArrow(_keys(width, bands), "cid long, keys array<long>").select("cid", F.explode("keys").alias("key"))
+    lead = F.first("cid").over(bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    runs = parts.select("key", "cid", lead.alias("lead"), F.dense_rank().over(bucket).alias("rank"), F.lead("cid").over(bucket).alias("after"))
+    return runs.where("cid != lead OR after IS NOT NULL").drop("after")
+
+
+def _links(base: DataFrame, nodes: DataFrame, runs: DataFrame, bands: Bands, width: int, num: int, den: int) -> DataFrame | None:
+    """Verified links (a, b) between classes, enough of them for the components; None if there is no pair to verify."""
+    side = lambda df, name, c: df.select(F.struct("n", "band", "own", "next").alias(name), F.col("cid").alias(c))
+
+    def elements(classes: DataFrame) -> DataFrame:
+        """Elements of classes (cid). Only texts that may be asked for are shuffled."""
+        one = F.min(F.struct(F.col("doc").isNull().alias("nameless"), "doc")).alias("s")
+        where = cut(nodes.join(classes, "cid", "left_semi").groupBy("cid").agg(one).select("cid", F.col("s.doc").alias("doc")))
+        maybe = maybe_among(base, F.col("_doc"), where.select("doc"), "_maybe").where("_maybe").select("_doc", "_text")
+        texts = maybe.join(where, F.col("_doc").eqNullSafe(F.col("doc"))).select("_text", "cid")
+        return cut(texts.mapInArrow(_set_rows(width), "cid long, elements binary").dropDuplicates(["cid"]))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        a, b = elements.select(F.col("cid").alias("a"), F.col("elements").alias("ea")), elements.select(F.col("cid").alias("b"), F.col("elements").alias("eb"))
+        sets = elements(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
+        a, b = sets.select(F.col("cid").alias("a"), F.col("elements").alias("ea")), sets.select(F.col("cid").alias("b"), F.col("elements").alias("eb"))
         return cut(pairs.join(a, "a").join(b, "b").select("a", "b", "ea", "eb").mapInArrow(_verify(num, den), "a long, b long"))
 
-    side = lambda name, c: info.select(F.struct("n", "band", "own", "next").alias(name), F.col("cid").alias(c))
-    near = meet.select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct()
-    near = near.join(side("x", "a"), "a").join(side("y", "b"), "b").where(_within("x", "y", num, den)).select("a", "b")
+    sketched = nodes.where("own IS NOT NULL").dropDuplicates(["cid"])
+    head = runs.where(F.col("rank") <= RUN)
+    inside = head.select("key", F.col("cid").alias("a")).join(head.select("key", F.col("cid").alias("b")), "key").where("a < b").select("a", "b")  # RUN classes a key
+    near = inside.union(runs.where(F.col("rank") > RUN).select(F.col("lead").alias("a"), F.col("cid").alias("b"))).distinct()
+    near = cut(near.join(side(sketched, "x", "a"), "a").join(side(sketched, "y", "b"), "b").where(_within("x", "y", num, den)).select("a", "b"))
+    if not near.take(1):
+        return None
     links = verified(near)
-    roots = components(links)
-    # classes of a bucket, beside its least, that are in different components so far
-    rest = meet.join(roots, meet.cid == roots.node, "left").select("key", "cid", F.coalesce("root", "cid").alias("root"))
+    sweep(base.sparkSession)
+    # longer buckets: classes that are in different components so far
+    longer = runs.where(F.col("rank") == RUN + 1).select("key").distinct()
+    rest = runs.where("cid != lead").join(longer, "key", "left_semi").select("key", "cid", (F.col("rank") <= RUN).alias("early")).distinct()
+    rest = rest.join(components(links).withColumnsRenamed({"node": "cid"}), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     split = rest.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("key")
-    rest = rest.join(split, "key", "left_semi").join(info.select("cid", F.struct("n", "band", "own", "next").alias("z")), "cid")
-    left = rest.select("key", F.col("cid").alias("a"), F.col("root").alias("ra"), F.col("z").alias("x"))
-    right = rest.select("key", F.col("cid").alias("b"), F.col("root").alias("rb"), F.col("z").alias("y"))
-    more = left.join(right, (left.key == right.key) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _within("x", "y", num, den)).select("a", "b").distinct()
-    return links.union(verified(more))
+    rest = cut(rest.join(split, "key", "left_semi"))
+    if not rest.take(1):
+        return links
+    rest = rest.join(sketched.select("cid", F.struct("n", "band", "own", "next").alias("z")), "cid")
+    left = rest.select("key", F.col("cid").alias("a"), F.col("root").alias("ra"), F.col("early").alias("ea"), F.col("z").alias("x"))
+    right = rest.select("key", F.col("cid").alias("b"), F.col("root").alias("rb"), F.col("early").alias("eb"), F.col("z").alias("y"))
+    apart = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & ~(F.col("ea") & F.col("eb"))
+    more = cut(left.join(right, (left.key == right.key) & apart & _within("x", "y", num, den)).select("a", "b").distinct())
+    return links.union(verified(more)) if more.take(1) else links

@@ -43,6 +43,7 @@ def encode(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, list[by
         w = words(text)
         parts.append(np.fromiter(map(code, w), np.int32, len(w)))
         ends.append(ends[-1] + len(w))
+    known.default_factory = None  # the cycle would keep all words until some later garbage collection
     return np.concatenate(parts) if parts else np.empty(0, np.int32), np.asarray(ends, np.int64), list(known)
 
 

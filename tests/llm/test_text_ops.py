@@ -152,8 +152,8 @@ def test_linked_sets_share_a_key_and_pass_the_bound(n, seed, ratio):
     for s in (a, b):
         own, further = sketch_join._schemes([s], bands)
         schemes = [int(own[0])] + ([int(own[0]) + 1] if len(further) else [])
-        k, _ = sketch_join.sketches([s] * len(schemes), np.asarray(schemes), bands, False)
-        _, x = sketch_join.sketches([s] * len(schemes), np.asarray(schemes), bands, True)
+        k = sketch_join.part_keys([s] * len(schemes), np.asarray(schemes), bands)
+        x = sketch_join.bit_sketches([s] * len(schemes), np.asarray(schemes), bands)
         keys.append(set(np.concatenate(k).tolist()))
         bits.append(dict(zip(schemes, x, strict=True)))
         band.append(int(own[0]))
