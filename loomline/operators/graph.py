@@ -23,10 +23,11 @@ def reach(edges: DataFrame, starts: DataFrame, keep: tuple[str, ...] = (), stop:
     keys = [*keep, "start", "node"]
     seen = cut(starts.select(*keep, "start", F.col("start").alias("node")).distinct().withColumn("hops", F.lit(0)))
     frontier, hops = seen, 0
-    edges = edges.select(*keep, F.col("src").alias("node"), F.col("dst")).distinct()
+    edges = cut(edges.select(*keep, F.col("src").alias("node"), F.col("dst")).distinct())  # read in every round
+    stop = cut(stop.select(*keep, "node").distinct()) if stop is not None else None
     while hops < max_rounds:
         hops += 1
-        open_ = frontier.join(stop.select(*keep, "node").distinct(), [*keep, "node"], "left_anti") if stop is not None else frontier
+        open_ = frontier.join(stop, [*keep, "node"], "left_anti") if stop is not None else frontier
         step = open_.join(edges, [*keep, "node"]).select(*keep, "start", F.col("dst").alias("node")).distinct()
         frontier = cut(step.join(seen, keys, "left_anti").withColumn("hops", F.lit(hops)))
         if not frontier.take(1):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loomline.functions.scalars import port_references
 from loomline.operators import graph
+from loomline.session import cut
 
 
 def port_edges(connectors: DataFrame, ports: DataFrame) -> DataFrame:
@@ -31,7 +32,7 @@ def column_lineage(connectors: DataFrame, ports: DataFrame, sources: DataFrame,
     node = lambda i, f: F.concat_ws("\x1f", F.col(i), F.col(f))
     fields = ports.select("mapping", "instance", "field").union(connectors.select("mapping", "to_instance", "to_field")).distinct()
     starts = fields.join(targets.select("mapping", "instance").distinct(), ["mapping", "instance"]).select("mapping", node("instance", "field").alias("start"))
-    edges = port_edges(connectors, ports)
+    edges = cut(port_edges(connectors, ports))
     ends = edges.select("mapping", F.col("dst").alias("node")).union(starts.select("mapping", "start")).distinct().withColumn("instance", F.substring_index("node", "\x1f", 1)).join(sources.select("mapping", "instance").distinct(), ["mapping", "instance"]).select("mapping", "node")
     reached = graph.reach(edges, starts, ("mapping",), stop=ends).join(ends, ["mapping", "node"])
     part = lambda c, i: F.split_part(F.col(c), F.lit("\x1f"), F.lit(i))

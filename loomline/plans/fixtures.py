@@ -16,6 +16,11 @@ def _n(expr: str):
     return F.expr(expr).cast("string")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Small tables come as one split; texts that cost much to parse are dealt to all cores."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def job_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """file, ord, content: 100 orders a file, a job each. Box by customer (every seventh job has none); one or two upstreams."""
     o = read(spark, sf_dir, "orders")
@@ -48,7 +53,7 @@ def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "signup", _text("WITH fresh AS (SELECT id FROM raw.n", u, ") UPDATE m SET flag = 1 FROM mart.m", v, " m JOIN fresh ON fresh.id = m.id"))
         .otherwise(_text("DELETE FROM t", u, " WHERE id IN (SELECT id FROM gone", v, ") -- from nowhere"))
     )
-    return e.select("event_id", "event_type", "user_id", "ts", sql.alias("sql"))
+    return _spread(e).select("event_id", "event_type", "user_id", "ts", sql.alias("sql"))
 
 
 def mapping_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +71,7 @@ def mapping_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<CONNECTOR FROMINSTANCE="EXP" FROMFIELD="OUT1" TOINSTANCE="TGT" TOFIELD="X"/><CONNECTOR FROMINSTANCE="EXP" FROMFIELD="OUT2" TOINSTANCE="TGT" TOFIELD="Y"/></MAPPING>',
         '<SESSION NAME="s_', k, '" MAPPINGNAME="M', _n("p_partkey + IF(p_partkey % 10 = 0, 1000000, 0)"), '"/></FOLDER></REPOSITORY></POWERMART>',
     )
-    return p.select(_text("part_", k, ".xml").alias("file"), body.alias("content"))
+    return _spread(p).select(_text("part_", k, ".xml").alias("file"), body.alias("content"))
 
 
 def package_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +85,7 @@ def package_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<DTS:Executable DTS:ObjectName="T2" DTS:ExecutableType="Microsoft.Pipeline"><DTS:ObjectData><SqlStatementSource>SELECT 1 FROM x', k, "</SqlStatementSource></DTS:ObjectData></DTS:Executable>",
         "</DTS:Executables></DTS:Executable></DTS:Executables></DTS:Executable>",
     )
-    return c.select(_text("/pk/p_", k, ".dtsx").alias("file"), body.alias("content"))
+    return _spread(c).select(_text("/pk/p_", k, ".dtsx").alias("file"), body.alias("content"))
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:

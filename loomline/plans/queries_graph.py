@@ -9,7 +9,13 @@ from loomline.functions.scalars import port_references
 from loomline.operators import graph, lineage
 from loomline.plans import fixtures
 from loomline.plans.catalogue import query
-from loomline.session import read
+from loomline.session import cut, read
+from loomline.sources import mapping_xml as mx
+
+
+def _folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports parsed once, for plans that look into them several times."""
+    return cut(mx.read_folders(fixtures.mapping_xml(spark, sf_dir)))
 
 
 @query("SELECT p_partkey, 'IN1,P' || p_partkey || ',A$' || p_size AS refs FROM part")
@@ -79,10 +85,7 @@ UNION ALL SELECT 'M' || k, 'TGT', 'Y', 'SRC', 'C' || c, 3 FROM p
 """
 )
 def mapping_column_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from loomline.session import cut
-    from loomline.sources import mapping_xml as mx
-
-    folders = cut(mx.read_folders(fixtures.mapping_xml(spark, sf_dir)))
+    folders = _folders(spark, sf_dir)
     bound = mx.bound_tables(folders)
     return lineage.column_lineage(mx.connectors(folders), mx.ports(folders), bound.where("role = 'source'"), bound.where("role = 'target'"))
 
@@ -95,23 +98,17 @@ UNION ALL SELECT 'F' || p_size, 'M' || p_partkey, 'TGT', 'target', 'T' || p_part
 """
 )
 def infa_xml_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from loomline.sources import mapping_xml as mx
-
-    return mx.bound_tables(mx.read_folders(fixtures.mapping_xml(spark, sf_dir))).select("folder", "mapping", "instance", "role", "name", "schema")
+    return mx.bound_tables(_folders(spark, sf_dir)).select("folder", "mapping", "instance", "role", "name", "schema")
 
 
 @query("SELECT 'F' || p_size AS folder, 'M' || p_partkey AS mapping, 'select C1 from A' || p_partkey AS sql FROM part")
 def infa_sql_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from loomline.sources import mapping_xml as mx
-
     return mx.snippets(mx.read_folders(fixtures.mapping_xml(spark, sf_dir))).select("folder", "mapping", "sql")
 
 
 @query("SELECT 's_' || p_partkey AS session, 'M' || (p_partkey + 1000000) AS mapping FROM part WHERE p_partkey % 10 = 0")
 def missing_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from loomline.sources import mapping_xml as mx
-
-    folders = mx.read_folders(fixtures.mapping_xml(spark, sf_dir))
+    folders = _folders(spark, sf_dir)
     known = folders.select(F.explode("x.MAPPING").alias("m")).select(F.col("m._NAME").alias("mapping")).distinct()
     return lineage.session_mappings(mx.sessions(folders).select("session", "mapping"), known)[1].select("session", "mapping")
 

@@ -8,6 +8,9 @@ import os
 import shutil
 import site
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +39,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def spilled(df: DataFrame) -> Iterator[DataFrame]:
+    """df as a Parquet table in the shared folder, for the time of the block: less than half the bytes of a checkpoint."""
+    spark = df.sparkSession
+    place = f"{checkpoint_dir(spark)}/spill-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    try:
+        df.write.parquet(place)
+        yield spark.read.schema(df.schema).parquet(place)
+    finally:
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def sweep(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished phases now; it does so only when the driver collects garbage."""
     gc.collect()
