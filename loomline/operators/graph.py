@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomline.operators.order import numbered
 from loomline.session import cut
 
 #: Rounds after which a walk stops; a walk of more hops is a sign of bad data.
@@ -83,8 +84,7 @@ def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def topological_order(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """node, ord, position: by level, then declaration order; nodes on cycles come last, in declaration order."""
     found = levels(nodes, edges).join(nodes.select("node", "ord"), "node")
-    order = Window.orderBy(F.col("level").asc_nulls_last(), "ord")
-    return found.withColumn("position", F.row_number().over(order)).select("node", "ord", "level", "position")
+    return numbered(found, [F.col("level").asc_nulls_last(), "ord"], "position", 1).select("node", "ord", "level", "position")
 
 
 def breadth_first(edges: DataFrame, nodes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

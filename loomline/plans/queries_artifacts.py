@@ -240,7 +240,7 @@ def package_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-SELECT ts::DATE AS day, event_type <> 'view' AS is_write, count(*)::BIGINT AS runs, sum(CASE event_type WHEN 'view' THEN 1 WHEN 'signup' THEN 4 ELSE 3 END)::BIGINT AS tables FROM events GROUP BY 1, 2
+SELECT strftime(ts, '%Y-%m-%d') AS day, event_type <> 'view' AS is_write, count(*)::BIGINT AS runs, sum(CASE event_type WHEN 'view' THEN 1 WHEN 'signup' THEN 4 ELSE 3 END)::BIGINT AS tables FROM events GROUP BY 1, 2
 """
 )
 def run_replay(spark: SparkSession, sf_dir: str) -> DataFrame:

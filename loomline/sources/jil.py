@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomline.operators.order import numbered
+
 
 def _lines(record: Column) -> Column:
     """Trimmed lines without blanks and comments."""
@@ -66,4 +68,4 @@ def box_members(jobs: DataFrame) -> DataFrame:
 
 def definition_order(jobs: DataFrame) -> DataFrame:
     """Definitions numbered in the order of files and lines."""
-    return jobs.withColumn("seq", F.row_number().over(Window.orderBy("ord", "at")) - 1)
+    return numbered(jobs, ["ord", "at"], "seq")

@@ -138,4 +138,4 @@ def replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = runs(spark.readStream.schema(STATEMENT).parquet(f"{place}/in"), db="DW", schema="S", lateness="60 days")
     write_runs(stream, lambda batch, n: batch.write.mode("overwrite").parquet(f"{place}/out/batch={n}"), f"{place}/state", available_now=True).awaitTermination()
     out = spark.read.parquet(f"{place}/out")
-    return out.groupBy(F.to_date("ts").alias("day"), "is_write").agg(F.count("*").alias("runs"), F.sum(F.size("inputs")).alias("tables"))
+    return out.groupBy(F.to_date("ts").cast("string").alias("day"), "is_write").agg(F.count("*").alias("runs"), F.sum(F.size("inputs")).alias("tables"))
