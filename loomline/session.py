@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
 import gc
+import io
 import os
-import shutil
 import site
-import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
@@ -70,9 +69,16 @@ def ship(spark: SparkSession) -> None:
     if getattr(sc, "_loomline_shipped", False) or str(root.parent) in {os.path.realpath(p) for p in found if p}:
         return
     sc._loomline_shipped = True
-    place = tempfile.mkdtemp()  # Spark's file server reads it for as long as the driver lives
-    atexit.register(shutil.rmtree, place, ignore_errors=True)
-    sc.addPyFile(shutil.make_archive(f"{place}/{root.name}", "zip", root.parent, root.name))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    place = f"{checkpoint_dir(spark)}/{root.name}-{uuid.uuid4().hex}.zip"  # in the shared folder: no local file is made
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+    out.write(packed.getvalue())
+    out.close()
+    sc.addPyFile(place)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
