@@ -41,12 +41,13 @@ def cut(df: DataFrame) -> DataFrame:
 @contextmanager
 def spilled(df: DataFrame) -> Iterator[DataFrame]:
     """df as a Parquet table in the shared folder, for the time of the block: less than half the bytes of a checkpoint."""
-    spark = df.sparkSession
+    spark, schema = df.sparkSession, df.schema
     place = f"{checkpoint_dir(spark)}/spill-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(place)
     try:
         df.write.parquet(place)
-        yield spark.read.schema(df.schema).parquet(place)
+        del df  # or its shuffle files would stay
+        yield spark.read.schema(schema).parquet(place)
     finally:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
