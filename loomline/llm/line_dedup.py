@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomline.llm.text import SPACE
+from loomline.llm import text as tx
 from loomline.session import cut
 
 MIN_CHARS, MIN_DOCS = 20, 3
@@ -31,13 +31,13 @@ ADDED = ("n_lines", "n_dropped", "keep_bitmap")
 
 def line_key(line: str, min_chars: int = MIN_CHARS) -> bytes | None:
     """The stripped line with A-Z lower-cased, or None if it has too few code points to count."""
-    key = line.strip(SPACE)
+    key = line.strip(tx.SPACE)
     return key.encode().lower() if len(key) >= min_chars else None
 
 
 def _emit(min_chars: int):
     def run(batches):
-        for b in batches:
+        for b in tx.each(batches):
             keys, docs, rows, at = [], [], [], []
             for doc, row, text in zip(b["_doc"].to_pylist(), b["_row"].to_pylist(), b["_text"].to_pylist(), strict=True):
                 for i, line in enumerate(text.split("\n")):
@@ -54,7 +54,7 @@ def _emit(min_chars: int):
 
 def _runs(batches) -> Iterator[tuple[tuple, int, int, int]]:
     """(key, doc, row, position) in sorted order."""
-    for b in batches:
+    for b in tx.each(batches):
         hi, lo, doc, row, at = (b[c].to_pylist() for c in ("hi", "lo", "doc", "row", "at"))
         yield from zip(zip(hi, lo, strict=True), doc, row, at, strict=True)
 
@@ -140,7 +140,7 @@ def apply_bitmap(text: str | None, bitmap: bytes) -> str:
 
 def _bitmaps(with_text: bool):
     def run(batches):
-        for b in batches:
+        for b in tx.each(batches):
             lines, dropped, maps = [], [], []
             for text, drops in zip(b["_text"].to_pylist(), b["_drops"].to_pylist(), strict=True):
                 keep = np.ones(text.count("\n") + 1 if text else 1, bool)
@@ -182,7 +182,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _apply(text_col: str):
     def run(batches):
-        for b in batches:
+        for b in tx.each(batches):
             i, j = b.schema.get_field_index(text_col), b.schema.get_field_index("keep_bitmap")
             done = [apply_bitmap(t, k) for t, k in zip(b.column(i).to_pylist(), b.column(j).to_pylist(), strict=True)]
             cols = [pa.array(done, pa.string()) if k == i else c for k, c in enumerate(b.columns) if k != j]

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from loomline.llm import text as tx
 from loomline.llm.components import components
 from loomline.llm.prefilter import maybe_among
-from loomline.session import cut, sweep
+from loomline.session import cut, spilled, sweep
 
 WIDTH, NUM, DEN = 5, 4, 5
 #: Share of spare groups.
@@ -210,7 +210,7 @@ def _set_rows(width: int):
 
 def _verify(num: int, den: int):
     def run(batches):
-        for b in batches:
+        for b in tx.each(batches):
             good = []
             for x, y in zip(b["ea"], b["eb"], strict=True):
                 s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
@@ -237,9 +237,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     bands = Bands(num, den)
     base = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text"))
     nodes = cut(base.mapInArrow(_classes(width, bands), f"doc long, n long, cid long, {_INFO}"))
-    runs = cut(_runs(base, width, bands))
-    sweep(docs.sparkSession)
-    links = _links(base, nodes, runs, bands, width, num, den)
+    with spilled(_runs(base, width, bands)) as runs:
+        sweep(docs.sparkSession)
+        links = _links(base, nodes, runs, width, num, den)
     out = nodes.select("doc", "n", "cid")
     if links is None:
         out = out.withColumn("root", F.col("cid"))
@@ -258,8 +258,8 @@ def _runs(base: DataFrame, width: int, bands: Bands) -> DataFrame:
     return runs.where("cid != lead OR after IS NOT NULL").drop("after")
 
 
-def _links(base: DataFrame, nodes: DataFrame, runs: DataFrame, bands: Bands, width: int, num: int, den: int) -> DataFrame | None:
-    """Verified links (a, b) between classes, enough of them for the components; None if there is no pair to verify."""
+def _links(base: DataFrame, nodes: DataFrame, runs: DataFrame, width: int, num: int, den: int) -> DataFrame | None:
+    """Verified links (a, b) between classes, enough of them for the components; None if there is no pair to verify. All of it is written when this returns."""
     side = lambda df, name, c: df.select(F.struct("n", "band", "own", "next").alias(name), F.col("cid").alias(c))
 
     def elements(classes: DataFrame) -> DataFrame:

@@ -91,7 +91,7 @@ def _deal(block: int, keys: np.ndarray, counts: np.ndarray, buckets: int):
 
 def _count_words(buckets: int):
     def run(batches):
-        for b in batches:
+        for b in tx.each(batches):
             for row in b.to_pylist():
                 x = Block(row)
                 seen = x.stream[x.learned & (x.stream >= 0)]
@@ -232,7 +232,7 @@ class Tree:
 
 def _count_grams(tree, buckets: int):
     def run(batches):
-        for b in batches:
+        for b in tx.each(batches):
             for row in b.to_pylist():
                 x = Block(row)
                 states = tree.value.states(x)
@@ -247,7 +247,7 @@ def _score(tree, buckets: int):
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches):
-        for b in batches:
+        for b in tx.each(batches):
             for row in b.to_pylist():
                 x = Block(row)
                 counts, of = np.zeros(len(x.words), np.int64), _bucket(x.words, buckets)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -14,15 +15,36 @@ import xxhash
 SPACE = " \t\n\x0b\x0c\r"
 CHUNK_BYTES = 4 << 20
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim
+except (OSError, AttributeError):  # another C library
+    _LIBC = None
+
 
 def words(text: str | None) -> list[bytes]:
     """Words [^\\x20\\x09-\\x0D]+ with A-Z lower-cased; bytes.lower and bytes.split know ASCII only, as the rule does."""
     return text.encode().lower().split() if text else []
 
 
+def release() -> None:
+    """Give freed memory back to the system: workers live on between tasks, and would keep the most they ever had."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task, and a release at its end."""
+    try:
+        yield from batches
+    finally:
+        release()
+
+
 def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices whose texts have about limit bytes at most; a longer text stands alone."""
-    for batch in batches:
+    for batch in each(batches):
         size = np.asarray(pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0), dtype=np.int64)
         total, start = 0, 0
         for i, n in enumerate(size.tolist()):
