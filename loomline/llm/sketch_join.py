@@ -38,6 +38,8 @@ RUN = 8
 #: Bits of a sketch for each bit that linked sets may differ in, and at least.
 RATE, LEAST_BITS = 4, 512
 _PAIRS = ((0, 1), (0, 2), (1, 2))
+#: Keys are cut to 48 bits, as they make most of the shuffle; a chance match costs a comparison of two sketches.
+_KEY = np.uint64((1 << 48) - 1)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _INFO = "band int, own array<long>, next array<long>"
 
@@ -120,7 +122,7 @@ def part_keys(sets: list[np.ndarray], scheme: np.ndarray, bands: Bands) -> list[
         mine = slice(start[i], start[i] + groups[i])
         few = np.cumsum(np.bincount(least[mine]))
         floor = int(np.searchsorted(few, bands.spare(int(scheme[i])), side="right"))  # groups with a key of fewer bits are spare
-        out.append(keys[mine][weight[mine] >= floor].view(np.int64))
+        out.append((keys[mine][weight[mine] >= floor] & _KEY).view(np.int64))
     return out
 
 
