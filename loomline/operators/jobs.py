@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.functions.scalars import bridged_workflow, upstream_jobs, upstream_jobs_raw
@@ -41,7 +41,7 @@ def graph_dump(jobs: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFram
     return boxes, jobs.select("name", F.col("job_type").alias("type"), F.col("box_name").alias("box"), F.array_sort(upstream_jobs_raw(F.coalesce("condition", F.lit("")))).alias("upstreams"), "command")
 
 
-def as_json(boxes: DataFrame, jobs: DataFrame) -> Column | DataFrame:
+def as_json(boxes: DataFrame, jobs: DataFrame) -> DataFrame:
     """One JSON document a row, kind first: files of them can be read back without a driver."""
     a = boxes.select(F.lit("box").alias("kind"), F.col("box").alias("key"), F.to_json(F.struct("jobs")).alias("value"))
     return a.unionByName(jobs.select(F.lit("job").alias("kind"), F.col("name").alias("key"), F.to_json(F.struct("type", "box", "upstreams", "command")).alias("value")))

@@ -11,7 +11,7 @@ from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 from loomline.functions.scalars import observed_tables, written_tables_hint
 from loomline.functions.urns import dataset_urn, normalise_observed
-from loomline.session import checkpoint_dir, read
+from loomline.session import checkpoint_dir
 
 STATEMENT = "sql_id string, parsing_schema string, sql_text string, last_active_time timestamp, executions long"
 POLL_S, LOOKBACK_MIN, MAX_ROWS, LATENESS = 60, 180, 2000, "10 minutes"
