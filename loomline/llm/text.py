@@ -91,12 +91,3 @@ def shingles(h: np.ndarray, width: int) -> np.ndarray:
         out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - n + 1 + i] + np.uint64(i + 1))
     return np.unique(out)
 
-
-def clashless(df, **made: str):
-    """Names for helper columns that no column of df has."""
-    have, out = {c.lower() for c in df.columns}, {}
-    for key, name in made.items():
-        while name.lower() in have:
-            name = "_" + name
-        out[key] = name
-    return out
