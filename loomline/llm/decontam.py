@@ -5,14 +5,15 @@ one stride apart, with a stride no shorter than the longest item of the index, s
 whole in some passage. BM25 impacts are divided by the item's score against itself, so one threshold serves all items.
 Bounds of a whole batch are worked out first: the sum of list maxima of a passage, then the sums of block maxima; only
 passages with a block that can reach the threshold are searched document at a time with pivots and block skips. All
-items above the threshold are then verified: enough of the question's and of the answer's word shingles must stand in
-the passage.
+items above the threshold are then verified: enough of the word shingles of the question and of the answer, taken
+together, must stand in the passage. An answer may be one shingle long, so it has no veto of its own; its share is
+reported beside the question's.
 
 Items go to the executors in groups of GROUP_TOKENS tokens at most (more items: more passes), each cut into indexes by
 item length and size. Statistics (document frequencies, mean length) are those of a group.
 
 Defined cases: null or empty texts match nothing; items without an id or without words are not searched for; an item
-without an answer part is verified by its question alone, and the reverse; repeated items and repeated rows each
+without an answer part is verified by its question alone, and the reverse (a missing part's share is 1); repeated items and repeated rows each
 match; rows without an id are searched and reported with a null id; extra columns play no part.
 """
 
@@ -46,9 +47,11 @@ class Index:
 
     def __init__(self, items: list[tuple[int, list[bytes], list[bytes]]], df: Counter, total: int, mean: float):
         self.ids = [i for i, _, _ in items]
-        self.parts = [(grams(q), grams(a)) for _, q, a in items]
+        self.split = [(grams(q), grams(a)) for _, q, a in items]
+        #: What must be covered, each by itself: question and answer as one list, and nothing beside it.
+        self.parts = [([*q, *a], []) for q, a in self.split]
         self.stride = max(len(q) + len(a) for _, q, a in items)
-        self.widths = sorted({len(g) for p in self.parts for s in p for g in s})
+        self.widths = sorted({len(g) for p in self.split for s in p for g in s})
         self.terms: dict[bytes, int] = {}
         lists: list[list[tuple[int, float]]] = []
         for n, (_, q, a) in enumerate(items):
@@ -172,8 +175,8 @@ class Index:
             words = [distinct[c] for c in codes[start : min(start + 2 * self.stride, int(ends[d + 1]))].tolist()]
             have = {tuple(words[i : i + w]) for w in self.widths for i in range(len(words) - w + 1)}
             for item, score in hits:
-                q, a = (len(p & have) / len(p) if p else 1.0 for p in self.parts[item])
-                if q >= overlap and a >= overlap:
+                if all(sum(g in have for g in p) >= overlap * len(p) for p in self.parts[item]):
+                    q, a = (len(p & have) / len(p) if p else 1.0 for p in self.split[item])
                     best[d, item] = max(best.get((d, item), (-1.0,)), (score, q, a, int(ends[d]) - start))
         return [(d, self.ids[i], score, q, a, -at) for (d, i), (score, q, a, at) in best.items()]
 

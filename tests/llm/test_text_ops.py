@@ -232,6 +232,20 @@ def test_decontamination_against_all_items(spark):
     assert decontam.contaminated(docs(spark, rows), none).count() == 0 and decontam.clean(docs(spark, rows), none).count() == len(rows)
 
 
+def test_decontamination_of_items_with_short_answers(spark):
+    """Text glued to an answer's end, or another answer word, doesn't hide a whole question; an answer alone is no leak."""
+    rng = random.Random(12)
+    question = lambda: " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(30)) + "."
+    items = [(i, f"{question()} {answer}") for i, answer in enumerate(["Forty.", "Two words.", "Here are five short words."])]
+    rows = [(i, f"before {t}%%%after more") for i, t in items]
+    rows += [(10 + i, f"before {t.rsplit(' ', 1)[0]} otherwise.") for i, t in items]
+    rows += [(20 + i, "before " + t.split(". ")[1]) for i, t in items]
+    q = decontam.question_and_answer(spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): (r.question_overlap, r.answer_overlap) for r in decontam.contaminated(docs(spark, rows), q).collect()}
+    assert got == {(10 * k + i, i): (1.0, 0.0) for k in (0, 1) for i in range(3)}
+    assert {r.doc_id for r in decontam.clean(docs(spark, rows), q).collect()} == {20, 21, 22}
+
+
 # --- packing ---
 
 ALPHABET = list("ab Zé ñ\n\t  '.,!?5²½٣漢字🙂​́ \x00\x1c\x85ſß’") + ["'s", "'ll", " the", "<|endoftext|>", " \n"]
