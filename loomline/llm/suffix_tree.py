@@ -1,15 +1,17 @@
 """LM scoring (operator 2): a probabilistic suffix tree over word tokens.
 
 Symbols are lower-cased words and one end of text; a text follows a start mark, which is a context only. Grams of up to
-DEPTH+1 symbols are counted over all learned texts if their empirical probability is P_MIN or more (level by level: a
-gram can be frequent only if its prefix and suffix are), so there are at most 1/P_MIN of each length whatever the
-corpus. A context is retained if its next-symbol distribution diverges from that of its longest retained suffix by more
+DEPTH+1 symbols are counted over all learned texts and stored if they occur LEAST times or more (level by level: a gram
+can be that frequent only if its prefix and suffix are), at every size of the corpus: the tree grows with it. A context is retained if its next-symbol distribution diverges from that of its longest retained suffix by more
 than its size is worth (N * KL >= symbols * ln(N) / 2). Next-symbol distributions are discounted, and what is left goes
 to the other symbols in proportion to the suffix's distribution; the root gives every word (count + 1) / (N + V + 1),
 unknown ones too, from exact counts of all words. A token is scored in its longest suffix state.
 
 The texts are encoded once into blocks (checkpointed). Counts of words of a block go out by hash bucket, are summed
-there, and the sums come back to the block that asked, so no table of words is ever in one place.
+there, and the sums come back to the block that asked, so no table of words is ever in one place. The tree is dealt in
+the same way, length by length: grams go with their context to the context's bucket, which sums them, decides whether
+the context is retained, and answers each block for the grams and contexts that it asked for. Only a context that occurs
+very often (HOT) has its grams dealt to all buckets; one row of sums a bucket then decides on it.
 
 Defined cases: null texts are empty (one end token); rows without an id are learned from and not held out; repeated
 rows count each; with nothing to learn from every token has probability 1 / (0 + 0 + 1); extra columns play no part.
@@ -17,6 +19,8 @@ rows count each; with nothing to learn from every token has probability 1 / (0 +
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -24,12 +28,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm import text as tx
-from loomline.session import cut
+from loomline.session import cut, sweep
 
-DEPTH, P_MIN, DISCOUNT = 3, 1e-6, 0.5
+DEPTH, LEAST, DISCOUNT = 3, 2, 0.5
 #: Counts that one task sums, about.
 BUCKET = 500_000
-_END = np.uint64(1)
+#: A context of so many occurrences, and of this share of all tokens, has its grams dealt to all buckets.
+HOT, HOT_SHARE = 1 << 17, 1e-4
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_END, _MARK = np.uint64(1), np.uint64(2)
 _BLOCK = "block long, docs array<long>, held array<boolean>, sizes binary, codes binary, words binary, n_words long, n_train long, d_train long"
 
 
@@ -41,6 +48,39 @@ def _open(b: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind)
 
 
+def _press_counts(a: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest takes."""
+    kind = np.min_scalar_type(int(a.max())) if len(a) else np.dtype(np.uint8)
+    return bytes([kind.itemsize]) + _press(a.astype(kind))
+
+
+def _open_counts(b: bytes) -> np.ndarray:
+    return _open(b[1:], f"u{b[0]}").astype(np.int64)
+
+
+def _press_keys(a: np.ndarray) -> bytes:
+    """The lowest 48 bits: enough among the grams of one context."""
+    return np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _open_keys(b: bytes) -> np.ndarray:
+    out = np.zeros((len(b) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
+def _press_few(a: np.ndarray) -> bytes:
+    """Numbers with few distinct values (ratios of small counts): the values, and codes of them."""
+    values, codes = np.unique(a, return_inverse=True)
+    head = _press(values)
+    return len(head).to_bytes(4, "little") + head + _press_counts(codes)
+
+
+def _open_few(b: bytes) -> np.ndarray:
+    n = 4 + int.from_bytes(b[:4], "little")
+    return _open(b[4:n], np.float64)[_open_counts(b[n:])]
+
+
 def _encode(batches):
     from pyspark import TaskContext
 
@@ -107,30 +147,28 @@ def _sums(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np
     return keys, key, back, np.bincount(back, counts, len(key)).astype(np.int64)
 
 
-def _answer_words(least: int):
-    """For each block that asked: its words' counts. With the first row: distinct and frequent words of the bucket."""
+def _answer_words(table: pa.Table) -> pa.Table:
+    """For each block that asked: its words' counts. With the first row: distinct words of the bucket."""
+    keys, _, back, total = _sums(table)
+    ends = np.cumsum([0, *map(len, keys)])
+    return pa.table({
+        "bucket": table["bucket"], "block": table["block"], "answer": pa.array([_press_counts(total[back[a:z]]) for a, z in zip(ends[:-1], ends[1:], strict=True)], pa.binary()),
+        "distinct": pa.array([int((total > 0).sum())] + [0] * (table.num_rows - 1), pa.int64()),
+    })
 
-    def run(table: pa.Table) -> pa.Table:
-        keys, key, back, total = _sums(table)
-        ends = np.cumsum([0, *map(len, keys)])
-        often = total >= least
-        n = table.num_rows
-        none = [b""] * (n - 1)
-        return pa.table({
-            "bucket": table["bucket"], "block": table["block"], "answer": pa.array([_press(total[back[a:z]]) for a, z in zip(ends[:-1], ends[1:], strict=True)], pa.binary()),
-            "distinct": pa.array([int((total > 0).sum())] + [0] * (n - 1), pa.int64()), "often": pa.array([key[often].tobytes(), *none], pa.binary()), "often_n": pa.array([total[often].tobytes(), *none], pa.binary()),
-        })
 
-    return run
+def _retain(context: np.ndarray, own: np.ndarray, above: np.ndarray, size: int) -> np.ndarray:
+    """By context, sums over its stored grams: how many, their probabilities, those in the suffix, and the divergence."""
+    return np.stack([np.bincount(context, x, size) for x in (None, own, above, own * np.log(own / above))], axis=1)
 
 
-def _sum_grams(least: int):
-    def run(table: pa.Table) -> pa.Table:
-        _, key, _, total = _sums(table)
-        often = total >= least
-        return pa.table({"keys": pa.array([key[often].tobytes()], pa.binary()), "counts": pa.array([total[often].tobytes()], pa.binary())})
-
-    return run
+def _left(n: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Weights of what is left beside the stored grams, NaN for contexts that aren't retained."""
+    stored, own, above, gain = sums.T
+    rest, rest_above = 1 - own, np.maximum(1 - above, 1e-12)
+    gain = gain + rest * np.log(np.maximum(rest, 1e-12) / rest_above)
+    keep = (stored > 0) & (rest > 1e-9) & (n * gain >= stored * np.log(np.maximum(n, 2)) / 2)
+    return np.where(keep, np.maximum(rest, 1e-12) / rest_above, np.nan)
 
 
 def _find(sorted_keys: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -143,7 +181,9 @@ def _find(sorted_keys: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    """Frequent words (sorted hashes; the start mark is one more id, the last) and frequent grams by length.
+    """The same model in one place, for small corpora; tests hold the dealt one against it.
+
+    Frequent words (sorted hashes; the start mark is one more id, the last) and frequent grams by length.
 
     grams[d]: sorted keys of grams of d+2 symbols: place of the prefix among those of d+1 symbols, times `base`, plus the last symbol.
     """
@@ -197,15 +237,10 @@ class Tree:
             n = self.counts[d].astype(np.float64)
             c = self.counts[d + 1].astype(np.float64)
             own = (c - DISCOUNT) / n[context]
-            size = len(n)
-            stored = np.bincount(context, minlength=size)
-            rest = 1 - np.bincount(context, own, size)
-            rest_above = np.maximum(1 - np.bincount(context, above, size), 1e-12)
-            gain = np.bincount(context, own * np.log(own / above), size) + rest * np.log(np.maximum(rest, 1e-12) / rest_above)
-            with np.errstate(divide="ignore"):
-                keep = (stored > 0) & (rest > 1e-9) & (n * gain >= stored * np.log(np.maximum(n, 2)) / 2)
+            left = _left(n, _retain(context, own, above, len(n)))
+            keep = ~np.isnan(left)
             self.kept.append(keep)
-            self.left.append(np.where(keep, np.log10(np.maximum(rest, 1e-12) / rest_above), 0.0))
+            self.left.append(np.where(keep, np.log10(np.where(keep, left, 1)), 0.0))
             self.prob.append(np.where(keep[context], own, above))
             suffix = place
         self.log = [np.log10(p) for p in self.prob]
@@ -230,59 +265,224 @@ class Tree:
         return block.size + 1, add(known.astype(np.int64)), add(base), add(value)
 
 
-def _count_grams(tree, buckets: int):
+_KINDS = {"contexts": (_press, lambda b: _open(b, np.uint64)), "n": (_press_counts, _open_counts), "sizes": (_press_counts, _open_counts), "keys": (_press_keys, _open_keys), "above": (_press_few, _open_few), "counts": (_press_counts, _open_counts)}
+_ASKED = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), *((k, pa.binary()) for k in _KINDS)])
+_SETTLED = "bucket long, block long, grams binary, lefts binary, hot_key binary, hot_n binary, hot_sums binary"
+#: What a block knows of the tree: the answers of each length so far, and the weights of the hot contexts of each.
+_KNOWN = "array<struct<level int, bucket long, grams binary, lefts binary>>"
+
+
+class Walk:
+    """The places of a block's stream and, length by length, the gram that ends at each: key, count if stored, else 0, and
+    the probability of its last symbol in the longest retained context so far."""
+
+    def __init__(self, row: dict, size: dict):
+        x = Block(row)
+        self.block, self.size = x, size
+        of = _bucket(x.words, size["word_buckets"])
+        self.counts, order = np.zeros(len(x.words), np.int64), np.argsort(of, kind="stable")
+        self.counts[order] = np.concatenate([_open_counts(a["answer"]) for a in sorted(row["answers"], key=lambda a: a["bucket"])])
+        self.symbol = np.r_[x.words, _MARK][x.stream]
+        self.key = self.symbol
+        self.n = np.r_[np.where(self.counts >= size["least"], self.counts, 0), size["docs"]][x.stream]
+        self.base = self.prob = np.r_[(self.counts + 1) / (size["tokens"] + size["distinct"] + 1), 1.0][x.stream]
+
+    def ask(self) -> None:
+        """Contexts that occur in the block, and the grams one longer, by context."""
+        x = self.block
+        self.use = np.flatnonzero((x.stream[1:] >= 0) & (self.n[:-1] > 0)) + 1
+        self.contexts, first, self.context = np.unique(self.key[self.use - 1], return_index=True, return_inverse=True)
+        self.context_n = self.n[self.use - 1][first]
+        self.hot = self.context_n >= self.size["hot"]
+        self.child = np.flatnonzero(self.n[self.use] > 0)  # among the places used
+        at = self.use[self.child]
+        with np.errstate(over="ignore"):
+            longer = tx.mix(tx.mix(self.key[at - 1]) * np.uint64(0x9E3779B97F4A7C15) + self.symbol[at])
+        self.grams, first, self.gram = np.unique(longer, return_index=True, return_inverse=True)
+        self.above, self.parent = self.prob[at][first], self.context[self.child][first]
+        self.gram_counts = np.bincount(self.gram, x.learned[at], len(self.grams)).astype(np.int64)
+        buckets = self.size["buckets"]
+        self.context_of = _bucket(self.contexts, buckets)
+        self.gram_of = np.where(self.hot[self.parent], _bucket(self.grams, buckets), self.context_of[self.parent])
+        self.gram_order = np.lexsort((self.parent, self.gram_of))
+        #: A hot context goes to the buckets of its grams, any other to its own, there in the order of its number.
+        whole = np.flatnonzero(~self.hot)
+        self.context_order = whole[np.argsort(self.context_of[whole], kind="stable")]
+
+    def asked(self, number: int) -> pa.RecordBatch:
+        buckets = np.arange(self.size["buckets"] + 1)
+        g = np.searchsorted(self.gram_of[self.gram_order], buckets)
+        c = np.searchsorted(self.context_of[self.context_order], buckets)
+        rows = []
+        for b in range(len(buckets) - 1):
+            grams, whole = self.gram_order[g[b] : g[b + 1]], self.context_order[c[b] : c[b + 1]]
+            if not len(grams) and not len(whole):
+                continue
+            parent = self.parent[grams]
+            contexts = np.union1d(whole, parent) if self.hot[parent].any() else whole
+            sizes = np.bincount(np.searchsorted(contexts, parent), minlength=len(contexts))
+            values = self.contexts[contexts], self.context_n[contexts], sizes, self.grams[grams], self.above[grams], self.gram_counts[grams]
+            rows.append((b, number, *(press(v) for v, (press, _) in zip(values, _KINDS.values(), strict=True))))
+        return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), _ASKED, strict=True)] if rows else [pa.array([], f.type) for f in _ASKED], schema=_ASKED)
+
+    def learn(self, answers: list[dict], hot: tuple[np.ndarray, np.ndarray]) -> None:
+        """Go one symbol up with the answers to what was asked, and (key, weight left) of the hot contexts."""
+        answers = sorted(answers, key=lambda a: a["bucket"])
+        n, left = np.zeros(len(self.grams), np.int64), np.full(len(self.contexts), np.nan)
+        n[self.gram_order] = np.concatenate([np.empty(0, np.int64), *(_open_counts(a["grams"]) for a in answers)])
+        left[self.context_order] = np.concatenate([np.empty(0), *(_open(a["lefts"], np.float64) for a in answers)])
+        found = _find(hot[0], self.contexts[self.hot])
+        left[self.hot] = np.where(found >= 0, np.r_[hot[1], np.nan][found], np.nan)
+        count, weight, above = np.zeros(len(self.use), np.int64), left[self.context], self.prob[self.use]
+        count[self.child] = n[self.gram]
+        own = (count - DISCOUNT) / self.n[self.use - 1]
+        key = np.zeros(len(self.key), np.uint64)
+        key[self.use[self.child]] = self.grams[self.gram]
+        self.prob = self.prob.copy()
+        self.prob[self.use] = np.where(np.isnan(weight), above, np.where(count > 0, own, weight * above))
+        self.n = np.zeros(len(key), np.int64)
+        self.n[self.use], self.key = count, key
+
+    def score(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each text: tokens, known tokens, base score and score."""
+        x = self.block
+        known = np.r_[self.counts > 0, False][x.stream]
+        add = lambda v: np.add.reduceat(v, x.starts) if len(x.starts) else np.empty(0)
+        return x.size + 1, add(known.astype(np.int64)), add(np.log10(self.base)), add(np.log10(self.prob))
+
+
+def _walked(row: dict, size: dict, hot: list) -> Walk:
+    walk = Walk(row, size)
+    for level, weights in enumerate(hot):
+        walk.ask()
+        walk.learn([a for a in row["known"] or [] if a["level"] == level], weights)
+    return walk
+
+
+def _ask(size: dict, hot):
     def run(batches):
         for b in tx.each(batches):
-            for row in b.to_pylist():
-                x = Block(row)
-                states = tree.value.states(x)
-                key = tree.value.extend(states[-1], states[0], None)
-                key, n = np.unique(key[x.learned & (key >= 0)], return_counts=True)
-                yield _deal(row["block"], key, n, buckets)
+            for i in range(b.num_rows):
+                row = b.slice(i, 1).to_pylist()[0]
+                walk = _walked(row, size, hot.value)
+                walk.ask()
+                yield walk.asked(row["block"])
 
     return run
 
 
-def _score(tree, buckets: int):
+def _settle(size: dict):
+    """Sums the grams of a bucket, decides on its contexts, and answers each block that asked."""
+
+    def run(table: pa.Table) -> pa.Table:
+        part = {k: [opened(v.as_py()) for v in table[k]] for k, (_, opened) in _KINDS.items()}
+        every = {k: np.concatenate(v) for k, v in part.items()}
+        context, first, back = np.unique(every["contexts"], return_index=True, return_inverse=True)
+        n = every["n"][first]
+        parent = np.repeat(back, every["sizes"])
+        with np.errstate(over="ignore"):
+            whole = tx.mix(np.repeat(every["contexts"], every["sizes"]) * np.uint64(0x9E3779B97F4A7C15) + every["keys"])
+        _, first, gram = np.unique(whole, return_index=True, return_inverse=True)
+        total = np.bincount(gram, every["counts"], len(first)).astype(np.int64)
+        total[total < size["least"]] = 0
+        stored = np.flatnonzero(total)
+        of = parent[first][stored]
+        sums = _retain(of, (total[stored] - DISCOUNT) / n[of], every["above"][first][stored], len(n))
+        hot = n >= size["hot"]
+        left = _left(n, sums)
+        g = np.cumsum([0, *map(len, part["keys"])])
+        c = np.cumsum([0, *map(len, part["contexts"])])
+        grams, lefts = [], []
+        for i in range(table.num_rows):
+            mine = back[c[i] : c[i + 1]]
+            grams.append(_press_counts(total[gram[g[i] : g[i + 1]]]))
+            lefts.append(_press(left[mine[~hot[mine]]]))
+        none = [b""] * (table.num_rows - 1)
+        hot &= sums[:, 0] > 0
+        found = [pa.array([x.tobytes(), *none], pa.binary()) for x in (context[hot], n[hot], sums[hot])]
+        return pa.table([table["bucket"], table["block"], pa.array(grams, pa.binary()), pa.array(lefts, pa.binary()), *found], names=[c.split()[0] for c in _SETTLED.split(", ")])
+
+    return run
+
+
+def _hot_rows(batches):
+    """One row a hot context and bucket: key, occurrences, sums."""
+    for b in batches:
+        for row in b.to_pylist():
+            key, n, sums = (np.frombuffer(row[k], kind) for k, kind in (("hot_key", np.int64), ("hot_n", np.int64), ("hot_sums", np.float64)))
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n), *map(pa.array, sums.reshape(-1, 4).T.copy())], ["key", "n", "s0", "s1", "s2", "s3"])
+
+
+def _hot_weights(settled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and weights left of the hot contexts, 1/HOT_SHARE at most; the sums of all buckets decide."""
+    rows = settled.where(F.length("hot_key") > 0).select("hot_key", "hot_n", "hot_sums").mapInArrow(_hot_rows, "key long, n long, s0 double, s1 double, s2 double, s3 double")
+    found = rows.groupBy("key").agg(F.first("n").alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(4)]).collect()
+    key = np.asarray([r["key"] for r in found], np.int64).view(np.uint64)
+    order = np.argsort(key)
+    return key[order], _left(np.asarray([r["n"] for r in found], np.int64), np.asarray([[r[f"s{i}"] for i in range(4)] for r in found]).reshape(-1, 4))[order]
+
+
+def _score(size: dict, hot):
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches):
         for b in tx.each(batches):
-            for row in b.to_pylist():
-                x = Block(row)
-                counts, of = np.zeros(len(x.words), np.int64), _bucket(x.words, buckets)
-                order = np.argsort(of, kind="stable")
-                counts[order] = np.concatenate([_open(a["answer"], np.int64) for a in sorted(row["answers"], key=lambda a: a["bucket"])])
-                n, known, base, score = tree.value.score(x, counts)
-                yield pa.RecordBatch.from_arrays([pa.array(row["docs"], pa.int64()), pa.array(row["held"], pa.bool_()), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(n), tree.value.tokens)), pa.array(base), pa.array(score)], names)
+            for i in range(b.num_rows):
+                row = b.slice(i, 1).to_pylist()[0]
+                n, known, base, score = _walked(row, size, hot.value).score()
+                yield pa.RecordBatch.from_arrays([pa.array(row["docs"], pa.int64()), pa.array(row["held"], pa.bool_()), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(n), size["tokens"])), pa.array(base), pa.array(score)], names)
 
     return run
 
 
-def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, p_min: float = P_MIN) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row; learned from rows not held out."""
+@contextmanager
+def _phases(spark):
+    """For the time of the block Spark deletes the shuffle files of each query at its end."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
+def _with(blocks: DataFrame, answers: DataFrame) -> DataFrame:
+    return blocks.join(answers.groupBy("block").agg(F.collect_list("a").alias("known")), "block", "left")
+
+
+def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, p_min: float = 0.0, least: int = LEAST, hot: int = HOT) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row; learned from rows not held out.
+
+    p_min raises the least count of a gram to that share of all tokens, for callers that want a smaller tree.
+    """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), held_out.alias("held"))
-    blocks = cut(texts.mapInArrow(_encode, _BLOCK))
-    size = blocks.agg(F.sum("n_train").alias("tokens"), F.sum("n_words").alias("asked"), F.sum("d_train").alias("docs")).first()
-    tokens, asked = size.tokens or 0, size.asked or 0
-    least = max(2, int(np.ceil(p_min * tokens)))
-    buckets = max(8, -(-asked // BUCKET))
-    dealt = blocks.mapInArrow(_count_words(buckets), "bucket long, block long, keys binary, counts binary")
-    answers = cut(dealt.groupBy("bucket").applyInArrow(_answer_words(least), "bucket long, block long, answer binary, distinct long, often binary, often_n binary"))
-    distinct = answers.agg(F.sum("distinct")).first()[0] or 0
-    often = answers.where(F.length("often") > 0).select("often", "often_n").collect()  # at most 1/p_min words
-    words = np.frombuffer(b"".join(r.often for r in often), np.uint64)
-    order = np.argsort(words)
-    tree = Tree(words[order], np.frombuffer(b"".join(r.often_n for r in often), np.int64)[order], tokens, distinct, size.docs or 0)
-    for _ in range(depth):
-        shared = spark.sparkContext.broadcast(tree)
-        parts = max(8, -(-tokens // (4 * BUCKET)))
-        grams = blocks.mapInArrow(_count_grams(shared, parts), "bucket long, block long, keys binary, counts binary").groupBy("bucket").applyInArrow(_sum_grams(least), "keys binary, counts binary").where(F.length("keys") > 0).collect()  # at most 1/p_min grams
-        if not grams:
-            break
-        tree.add(np.frombuffer(b"".join(r["keys"] for r in grams), np.int64), np.frombuffer(b"".join(r["counts"] for r in grams), np.int64))
-    tree.grow()
-    shared = spark.sparkContext.broadcast(tree)
-    mine = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "answer")).alias("answers"))  # as many as the block asked for
-    return blocks.join(mine, "block").mapInArrow(_score(shared, buckets), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    with _phases(spark):
+        blocks = cut(texts.mapInArrow(_encode, _BLOCK))
+        sums = blocks.agg(F.sum("n_train").alias("tokens"), F.sum("n_words").alias("asked"), F.sum("d_train").alias("docs")).first()
+        tokens, asked = sums.tokens or 0, sums.asked or 0
+        buckets = max(8, -(-asked // BUCKET))
+        dealt = blocks.mapInArrow(_count_words(buckets), "bucket long, block long, keys binary, counts binary")
+        words = cut(dealt.groupBy("bucket").applyInArrow(_answer_words, "bucket long, block long, answer binary, distinct long"))
+        sweep(spark)
+        distinct = words.agg(F.sum("distinct")).first()[0] or 0
+        mine = words.groupBy("block").agg(F.collect_list(F.struct("bucket", "answer")).alias("answers"))  # as many as the block asked for
+        size = {"tokens": tokens, "distinct": distinct, "docs": sums.docs or 0, "least": max(least, int(np.ceil(p_min * tokens))), "hot": max(hot, int(HOT_SHARE * tokens)), "word_buckets": buckets, "buckets": max(8, -(-tokens // (4 * BUCKET)))}
+        blocks = cut(blocks.join(mine, "block"))
+        del dealt, words, mine  # or their files would stay
+        sweep(spark)
+        now, answers, weights = blocks.withColumn("known", F.lit(None).cast(_KNOWN)), None, []
+        for level in range(depth):
+            known = spark.sparkContext.broadcast(list(weights))
+            settled = cut(now.mapInArrow(_ask(size, known), _schema(_ASKED)).groupBy("bucket").applyInArrow(_settle(size), _SETTLED))
+            del now
+            weights.append(_hot_weights(settled))
+            new = settled.select("block", F.struct(F.lit(level).alias("level"), "bucket", "grams", "lefts").alias("a"))
+            answers = new if answers is None else answers.unionByName(new)
+            now = _with(blocks, answers)
+            sweep(spark)
+    return now.mapInArrow(_score(size, spark.sparkContext.broadcast(weights)), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def _schema(of: pa.Schema) -> str:
+    return ", ".join(f"{f.name} {'binary' if f.type == pa.binary() else 'long'}" for f in of)

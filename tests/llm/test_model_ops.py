@@ -153,6 +153,55 @@ def test_suffix_tree_probabilities_sum_to_one():
         assert total == pytest.approx(1, abs=1e-9)
 
 
+def small_tree(learned, least):
+    """The tree of some word lists, counted in plain Python."""
+    end = int(suffix_tree._END)
+    texts = [[int(h) for h in tx.hashes(t)] + [end] for t in learned]
+    uni = collections.Counter(x for t in texts for x in t)
+    words = np.sort(np.asarray([w for w, c in uni.items() if c >= least], np.uint64))
+    tree = suffix_tree.Tree(words, np.asarray([uni[int(w)] for w in words]), sum(uni.values()), len(uni), len(texts))
+    seqs = [[tree.mark, *(int(x) for x in suffix_tree._find(words, np.asarray(t, np.uint64)))] for t in texts]
+    known = {(i,): i for i in range(len(words) + 1)}
+    for d in (2, 3, 4):
+        grams = collections.Counter(tuple(s[i : i + d]) for s in seqs for i in range(len(s) - d + 1))
+        keep = {g: c for g, c in grams.items() if c >= least and g[:-1] in known and g[1:] in known}
+        keys = np.asarray([known[g[:-1]] * tree.base + g[-1] for g in keep], np.int64)
+        tree.add(keys, np.asarray(list(keep.values())))
+        known |= {g: int(np.searchsorted(tree.grams[-1], k)) for g, k in zip(keep, keys, strict=True)}
+    tree.grow()
+    return tree, uni
+
+
+@pytest.mark.parametrize("hot", [suffix_tree.HOT, 40])
+def test_dealt_suffix_tree_is_the_tree_in_one_place(spark, hot):
+    rng = random.Random(15)
+    phrases = [["we", "go", "to", "the", "shop"], ["the", "cat", "sat"], ["of", "the", "people"], ["a", "b", "a", "b"]]
+    rows = [(i, " ".join(w for _ in range(rng.randint(0, 12)) for w in rng.choice(phrases) + rng.choices("abcdefgh", k=2) + [f"r{rng.randint(0, 400)}"]), "en") for i in range(250)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    tree, uni = small_tree([tx.words(t) for i, t, _ in rows if not held(i)], 2)
+    assert all(k.any() for k in tree.kept)
+    got = {r.doc_id: r.score for r in suffix_tree.score_documents(docs(spark, rows), langid.held_out("doc_id", 7, 2), hot=hot).collect()}
+
+    class One(suffix_tree.Block):
+        def __init__(self, text):
+            h = tx.hashes(text)
+            self.words = np.r_[np.unique(h), suffix_tree._END]
+            self.stream = np.r_[-1, np.searchsorted(self.words[:-1], h), len(self.words) - 1].astype(np.int64)
+            self.size, self.starts = np.asarray([len(text)]), np.asarray([0])
+
+    for i, t, _ in rows:
+        block = One(tx.words(t))
+        assert got[i] == pytest.approx(tree.score(block, np.asarray([uni[int(w)] for w in block.words]))[3][0], abs=1e-9)
+
+
+def test_suffix_tree_keeps_rare_grams_of_a_large_corpus(spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    learned = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 != 2]
+    rows = [(i, "zzz " * 150_000, "en") for i in learned[:20]] + [(i, "one rare old phrase", "en") for i in learned[20:22]]
+    (r,) = [r for r in suffix_tree.score_documents(docs(spark, [*rows, (held, "one rare old phrase", "en")]), langid.held_out("doc_id", 7, 2)).collect() if r.held_out]
+    assert r.train_tokens > 3_000_000 and r.score > r.base_score + 10
+
+
 def test_suffix_tree_without_training(spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     got = suffix_tree.score_documents(docs(spark, [(held, "a b", "en")]), langid.held_out("doc_id", 7, 2)).collect()
