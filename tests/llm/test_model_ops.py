@@ -1,6 +1,7 @@
 """Operators 2, 4, 5, 6, 9 and 10: against plain Python, by held-out accuracy, and on awkward rows."""
 
 import collections
+import functools
 import math
 import random
 import zlib
@@ -142,14 +143,14 @@ def test_suffix_tree_probabilities_sum_to_one():
 
     class One(suffix_tree.Block):
         def __init__(self, stream):
-            self.words, self.stream = np.r_[words, np.uint64(12345)], np.asarray(stream)
+            self.stream = np.asarray(stream)
             self.size, self.starts = np.asarray([len(stream) - 2]), np.asarray([0])
 
-    counts = np.asarray([uni[i] for i in range(len(words))] + [0])
+    counts, names = np.asarray([uni[i] for i in range(len(words))] + [0]), np.r_[words, np.uint64(12345)]
     for context in ([], [sym[0]], [sym[0], sym[1]], [sym[3], sym[0], sym[1], sym[0]], [sym[5], sym[5]], [len(words)]):
-        total, prefix = 0.0, tree.score(One([-1, *context]), counts)[3][0] if context else 0.0
+        total, prefix = 0.0, tree.score(One([-1, *context]), names, counts)[3][0] if context else 0.0
         for x in range(len(words) + 1):
-            total += 10 ** (tree.score(One([-1, *context, x]), counts)[3][0] - prefix)
+            total += 10 ** (tree.score(One([-1, *context, x]), names, counts)[3][0] - prefix)
         assert total == pytest.approx(1, abs=1e-9)
 
 
@@ -172,6 +173,59 @@ def small_tree(learned, least):
     return tree, uni
 
 
+def plain_model(learned, least=2, depth=3):
+    """P(context, symbol) by recursion over counts in dictionaries; ^ opens a text, None ends it."""
+    count = collections.Counter()
+    for t in learned:
+        s = ["^", *t, None]
+        count.update(tuple(s[i : i + d]) for d in range(1, depth + 2) for i in range(len(s) - d + 1))
+    uni = {g[0]: c for g, c in count.items() if len(g) == 1 and g != ("^",)}
+    total = sum(uni.values()) + len(uni) + 1
+
+    @functools.cache
+    def stored(gram):
+        return gram == ("^",) or count[gram] >= least and "^" not in gram[1:] and (len(gram) == 1 or stored(gram[:-1]) and stored(gram[1:]))
+
+    follows = collections.defaultdict(list)
+    for g in count:
+        if len(g) > 1 and stored(g):
+            follows[g[:-1]].append(g[-1])
+
+    @functools.cache
+    def left(context):
+        """The weight of what is left beside the stored symbols, or None if the context is not retained."""
+        if not follows[context]:
+            return None
+        n = count[context]
+        own = [(count[*context, x] - 0.5) / n for x in follows[context]]
+        above = [prob(context[1:], x) for x in follows[context]]
+        rest, rest_above = 1 - sum(own), max(1 - sum(above), 1e-12)
+        if rest <= 1e-9:
+            return None
+        gain = sum(a * math.log(a / b) for a, b in zip(own, above, strict=True)) + rest * math.log(rest / rest_above)
+        return rest / rest_above if n * gain >= len(own) * math.log(max(n, 2)) / 2 else None
+
+    def prob(context, x):
+        if not context:
+            return (uni.get(x, 0) + 1) / total
+        weight = left(context)
+        if weight is None:
+            return prob(context[1:], x)
+        return (count[*context, x] - 0.5) / count[context] if x in follows[context] else weight * prob(context[1:], x)
+
+    return prob
+
+
+@functools.cache
+def _plain(learned):
+    return plain_model(learned)
+
+
+def plain_score(text, learned, depth=3):
+    prob, s = _plain(tuple(map(tuple, learned))), ["^", *text, None]
+    return sum(math.log10(prob(tuple(s[max(0, i - depth) : i]), s[i])) for i in range(1, len(s)))
+
+
 @pytest.mark.parametrize("hot", [suffix_tree.HOT, 40])
 def test_dealt_suffix_tree_is_the_tree_in_one_place(spark, hot):
     rng = random.Random(15)
@@ -191,7 +245,8 @@ def test_dealt_suffix_tree_is_the_tree_in_one_place(spark, hot):
 
     for i, t, _ in rows:
         block = One(tx.words(t))
-        assert got[i] == pytest.approx(tree.score(block, np.asarray([uni[int(w)] for w in block.words]))[3][0], abs=1e-9)
+        assert got[i] == pytest.approx(tree.score(block, block.words, np.asarray([uni[int(w)] for w in block.words]))[3][0], abs=1e-9)
+        assert got[i] == pytest.approx(plain_score(tx.words(t), [tx.words(t) for i, t, _ in rows if not held(i)]), abs=1e-9)
 
 
 def test_suffix_tree_keeps_rare_grams_of_a_large_corpus(spark):
