@@ -9,13 +9,19 @@ of few bits, as long as no more than the spare groups have any: empty and nearly
 one common passage, are not joined on. Sets meet others of their own band and, where a partner may be larger, of the next.
 
 Equal sets form one class before anything is joined. In a bucket of equal parts the first RUN classes are compared with
-each other, and every later one with the first; after linking those, classes of a longer bucket that are still in
-different components are compared with each other, too. Pairs pass the sketches' Hamming bound, then an exact count over
-the sets of both.
+each other, and every later one with the first. Classes of a longer bucket that are still in different components then
+go through rounds: those outside the bucket's largest component are compared with a few classes of it, new links are
+added, components are made anew, and buckets of one component leave. Each round is linear in the buckets' entries. When
+few pairs are left, or a round has linked nothing, the classes outside the largest component are compared with all of
+their bucket that are in another one: no pair of different components stays uncompared, so nothing is lost. Only a
+bucket of many classes that meet and yet don't link costs more than its size in this last step, in comparisons of
+sketches inside the join; pairs that come out of it passed the bound. Pairs pass the sketches' Hamming bound, then an
+exact count over the sets of both.
 
 Defined cases: null texts and texts without words have an empty set and are linked with nothing; a text of fewer words
-than a shingle is one shingle; rows that repeat an id are rows of their own with that id; rows without an id link
-others but name no component, and theirs is null if no row in it has an id; extra columns play no part.
+than a shingle is one shingle; a text of any length is one set; rows that repeat an id are rows of their own with that
+id; rows without an id link others but name no component, and theirs is null if no row in it has an id; an empty table
+gives no rows; extra columns play no part.
 """
 
 from __future__ import annotations
@@ -35,6 +41,9 @@ WIDTH, NUM, DEN = 5, 4, 5
 SPARE = 0.15
 #: Classes of a bucket that are all compared with each other.
 RUN = 8
+#: Classes of a bucket's largest component that the others are compared with in a round; rounds go on while more pairs
+#: than this for each entry are left to compare.
+HUBS, FEW = 8, 64
 #: Bits of a sketch for each bit that linked sets may differ in, and at least.
 RATE, LEAST_BITS = 4, 512
 _PAIRS = ((0, 1), (0, 2), (1, 2))
@@ -162,7 +171,7 @@ _LONGS = pa.list_(pa.int64())
 
 
 def _classes(width: int, bands: Bands):
-    """doc, n, cid for each text; the first of a class in a task also has the class's sketches."""
+    """doc, k, n, cid for each text; the first of a class in a task also has the class's sketches."""
 
     def run(batches):
         seen: set[int] = set()
@@ -172,8 +181,8 @@ def _classes(width: int, bands: Bands):
             first = [i for i, (x, c) in enumerate(zip(sets, cid, strict=True)) if len(x) and not (c in seen or seen.add(c))]
             place = {i: j for j, i in enumerate(first)}
             info = [[values[place[i]] if i in place else None for i in range(len(sets))] for values in _info([sets[i] for i in first], bands)]
-            arrays = [b["_doc"], pa.array([len(x) for x in sets], pa.int64()), pa.array(cid, pa.int64()), *[pa.array(x, t) for x, t in zip(info, (pa.int32(), _LONGS, _LONGS), strict=True)]]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc", "n", "cid", "band", "own", "next"])
+            arrays = [b["_doc"], b["_k"], pa.array([len(x) for x in sets], pa.int64()), pa.array(cid, pa.int64()), *[pa.array(x, t) for x, t in zip(info, (pa.int32(), _LONGS, _LONGS), strict=True)]]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc", "k", "n", "cid", "band", "own", "next"])
 
     return run
 
@@ -237,18 +246,20 @@ def _within(x: str, y: str, num: int, den: int) -> Column:
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, n_shingles, component_id for each row: components of the links of similarity num/den or more."""
     bands = Bands(num, den)
-    base = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text"))
-    nodes = cut(base.mapInArrow(_classes(width, bands), f"doc long, n long, cid long, {_INFO}"))
+    doc, text = F.col(id_col).cast("long"), F.col(text_col)
+    base = docs.select(doc.alias("_doc"), F.xxhash64(doc, text).alias("_k"), text.alias("_text"))
+    nodes = cut(base.mapInArrow(_classes(width, bands), f"doc long, k long, n long, cid long, {_INFO}"))
     with spilled(_runs(base, width, bands)) as runs:
         sweep(docs.sparkSession)
         links = _links(base, nodes, runs, width, num, den)
-    out = nodes.select("doc", "n", "cid")
-    if links is None:
-        out = out.withColumn("root", F.col("cid"))
-    else:
-        out = out.join(components(links).withColumnsRenamed({"node": "cid"}), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    least = out.where("n > 0").groupBy("root").agg(F.min("doc").alias("least"))
-    return out.join(least, "root", "left").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
+    least = nodes.where("n > 0").groupBy("cid").agg(F.min("doc").alias("least"))
+    if links is not None:  # written tables on both sides: adaptive execution can split a component of very many classes
+        of = components(links).withColumnsRenamed({"node": "cid"})
+        known = cut(least.join(of, "cid", "left").withColumn("root", F.coalesce("root", "cid")))
+        roots = cut(known.groupBy("root").agg(F.min("least").alias("least")))
+        least = cut(known.select("cid", "root").join(roots, "root").select("cid", "least"))
+    out = nodes.select("doc", "n", "cid").join(least, "cid", "left")
+    return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
 
 
 def _runs(base: DataFrame, width: int, bands: Bands) -> DataFrame:
@@ -265,11 +276,10 @@ def _links(base: DataFrame, nodes: DataFrame, runs: DataFrame, width: int, num:
     side = lambda df, name, c: df.select(F.struct("n", "band", "own", "next").alias(name), F.col("cid").alias(c))
 
     def elements(classes: DataFrame) -> DataFrame:
-        """Elements of classes (cid). Only texts that may be asked for are shuffled."""
-        one = F.min(F.struct(F.col("doc").isNull().alias("nameless"), "doc")).alias("s")
-        where = cut(nodes.join(classes, "cid", "left_semi").groupBy("cid").agg(one).select("cid", F.col("s.doc").alias("doc")))
-        maybe = maybe_among(base, F.col("_doc"), where.select("doc"), "_maybe").where("_maybe").select("_doc", "_text")
-        texts = maybe.join(where, F.col("_doc").eqNullSafe(F.col("doc"))).select("_text", "cid")
+        """Elements of classes (cid), out of one row of each. Only texts that may be asked for are shuffled."""
+        where = cut(nodes.join(classes, "cid", "left_semi").groupBy("cid").agg(F.min("k").alias("k")))
+        maybe = maybe_among(base, F.col("_k"), where.select("k"), "_maybe").where("_maybe").select("_k", "_text")
+        texts = maybe.join(where, F.col("_k") == F.col("k")).select("_text", "cid")
         return cut(texts.mapInArrow(_set_rows(width), "cid long, elements binary").dropDuplicates(["cid"]))
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -286,17 +296,47 @@ def _links(base: DataFrame, nodes: DataFrame, runs: DataFrame, width: int, num:
         return None
     links = verified(near)
     sweep(base.sparkSession)
-    # longer buckets: classes that are in different components so far
     longer = runs.where(F.col("rank") == RUN + 1).select("key").distinct()
-    rest = runs.where("cid != lead").join(longer, "key", "left_semi").select("key", "cid", (F.col("rank") <= RUN).alias("early")).distinct()
-    rest = rest.join(components(links).withColumnsRenamed({"node": "cid"}), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    split = rest.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("key")
-    rest = cut(rest.join(split, "key", "left_semi"))
-    if not rest.take(1):
+    rest = runs.where("cid != lead").join(longer, "key", "left_semi").select("key", "cid").distinct()
+    if not (rest := cut(rest)).take(1):
         return links
-    rest = rest.join(sketched.select("cid", F.struct("n", "band", "own", "next").alias("z")), "cid")
-    left = rest.select("key", F.col("cid").alias("a"), F.col("root").alias("ra"), F.col("early").alias("ea"), F.col("z").alias("x"))
-    right = rest.select("key", F.col("cid").alias("b"), F.col("root").alias("rb"), F.col("early").alias("eb"), F.col("z").alias("y"))
-    apart = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & ~(F.col("ea") & F.col("eb"))
-    more = cut(left.join(right, (left.key == right.key) & apart & _within("x", "y", num, den)).select("a", "b").distinct())
-    return links.union(verified(more)) if more.take(1) else links
+    rest = cut(rest.join(sketched.select("cid", F.struct("n", "band", "own", "next").alias("z")), "cid"))
+    turn, linked = 0, True
+    while True:
+        rest, left, entries = _apart(rest, links)
+        sweep(base.sparkSession)
+        if not left:
+            return links
+        last = not linked or left <= FEW * entries
+        more = cut(_meet(rest, last, turn, num, den))
+        new = verified(more) if more.take(1) else None
+        linked = new is not None and bool(new.take(1))
+        links = cut(links.union(new)) if linked else links
+        if last:
+            return links
+        turn += 1
+
+
+def _apart(rest: DataFrame, links: DataFrame) -> tuple[DataFrame, int, int]:
+    """Entries (key, cid, z, root, main) of buckets with several components, main being the largest of the bucket, then
+    the pairs of different components that the last step would compare, and the number of entries."""
+    rooted = rest.select("key", "cid", "z").join(components(links).withColumnsRenamed({"node": "cid"}), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    rooted = cut(rooted)
+    sizes = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
+    mains = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("x"), F.sum("n").alias("n")).where("x.n < n")
+    mains = cut(mains.select("key", F.col("x.root").alias("main"), "n", ((F.col("n") - F.col("x.n")) * F.col("n")).alias("pairs")))
+    sums = mains.agg(F.sum(F.col("pairs").cast("double")).alias("pairs"), F.sum("n").alias("n")).first()
+    return cut(rooted.join(mains.select("key", "main"), "key")), int(sums.pairs or 0), int(sums.n or 0)
+
+
+def _meet(rest: DataFrame, every: bool, turn: int, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of classes of different components that meet in a bucket and pass the Hamming bound: those outside
+    the largest component with HUBS classes of it, or with every class of another component."""
+    out = rest.where("root != main").select("key", F.col("cid").alias("a"), F.col("root").alias("ra"), F.col("z").alias("x"))
+    hubs = rest
+    if not every:
+        order = Window.partitionBy("key").orderBy(F.xxhash64("cid", F.lit(turn)), "cid")
+        hubs = rest.where("root = main").withColumn("place", F.row_number().over(order)).where(F.col("place") <= HUBS)
+    hubs = hubs.select("key", F.col("cid").alias("b"), F.col("root").alias("rb"), (F.col("root") == F.col("main")).alias("in_main"), F.col("z").alias("y"))
+    met = out.join(hubs, (out.key == hubs.key) & (F.col("ra") != F.col("rb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _within("x", "y", num, den))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

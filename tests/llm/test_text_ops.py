@@ -128,6 +128,23 @@ def test_jaccard_groups(spark, width, num, den):
     assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=repr) == groups(rows, width, num, den)
 
 
+@pytest.mark.parametrize(("hubs", "few"), [(1, 0), (4, 0), (1, 10**9)])
+def test_jaccard_rounds_of_a_long_bucket(spark, monkeypatch, hubs, few):
+    """A cloud of one text whose copies mostly don't link the first class of their buckets: rounds, or the last step alone."""
+    monkeypatch.setattr(sketch_join, "HUBS", hubs)
+    monkeypatch.setattr(sketch_join, "FEW", few)
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for i in range(160):
+        w = list(base)
+        for at in rng.sample(range(90), rng.choice([0, 1, 2, 3, 4, 6])):
+            w[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i if i % 11 else None, " ".join(w)))
+    got = sketch_join.jaccard_components(docs(spark, rows), width=3, num=9, den=10)
+    assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=repr) == groups(rows, 3, 9, 10)
+
+
 def test_jaccard_of_nothing_and_of_copies(spark):
     assert sketch_join.jaccard_components(docs(spark, [])).count() == 0
     rows = [(i, "the same text of a few words " * 5) for i in range(300)]
