@@ -9,9 +9,11 @@ ranked by id, plain texts (ASCII and Latin letters, on whose classes all Unicode
 with the file's own vocabulary: the same algorithm at a third of the cost. All other texts, and all files of other
 kinds, go through `tokenizers`: units between single spaces are encoded once and remembered in a bounded cache. The
 pre-tokenizer always breaks before a single space that has a non-space on both sides, so this gives the same ids as
-encoding the whole text.
+encoding the whole text. Texts that hold a token added to the vocabulary (such as the end of a text) are encoded whole.
 
-Defined cases: a null text is empty (one piece with the end id); repeated rows are packed each; extra columns are ignored.
+Defined cases: a null or empty text is one piece with the end id; a text of any length is cut into full windows and a
+rest; pieces of equal length go in order of id and start; rows without an id and repeated rows are packed each; an empty
+table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -74,8 +76,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.ranked = ranked(path)
+        #: Texts that hold a token added to the vocabulary go through `tokenizers` as a whole, and so do all with a normalizer.
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join(added) if added else "(?!)") if self.tokenizer.normalizer is None else re.compile("")
         self.forget()
 
     def forget(self) -> None:
@@ -104,9 +108,16 @@ class Encoder:
 
     def encode(self, texts: list[str | None], end: int = END_ID) -> list[np.ndarray]:
         """Little-endian 32-bit ids of each text, then the end id."""
-        plain = [bool(self.ranked and _PLAIN.fullmatch(t or "")) for t in texts]
-        other = iter(self._by_units([t for t, p in zip(texts, plain, strict=True) if not p]))
-        return [np.append(self.ranked.encode_to_numpy(t or "", disallowed_special=()) if p else next(other), end).astype("<u4") for t, p in zip(texts, plain, strict=True)]
+        whole = [bool(self.whole.search(t or "")) for t in texts]
+        plain = [bool(self.ranked and not w and _PLAIN.fullmatch(t or "")) for t, w in zip(texts, whole, strict=True)]
+        units = iter(self._by_units([t for t, p, w in zip(texts, plain, whole, strict=True) if not p and not w]))
+
+        def ids(t: str, p: bool, w: bool):
+            if w:
+                return self.tokenizer.encode(t, add_special_tokens=False).ids
+            return self.ranked.encode_to_numpy(t, disallowed_special=()) if p else next(units)
+
+        return [np.append(ids(t or "", p, w), end).astype("<u4") for t, p, w in zip(texts, plain, whole, strict=True)]
 
     def _by_units(self, texts: list[str | None]) -> list[np.ndarray]:
         if len(self.known) > CACHE_UNITS or self.chars > CACHE_CHARS:
