@@ -2,18 +2,19 @@
 
 Bytes fold to 64 classes (case folds, also that of two-byte Latin letters). A window of 256 bytes is embedded, passed
 through filters of widths 2, 3 and 4, max-pooled and classified by softmax; a text's label comes from the mean of the
-logits of all its windows. Training takes a bounded sample of labelled rows (DOCS_PER_LANG rows of each of the
-MAX_LANGS most frequent labels, WINDOWS_PER_DOC windows of each). Prediction covers every window of every whole text:
+logits of all its windows. Training takes a bounded sample of labelled rows: LABELLED rows at most, shared out evenly
+among the labels, DOCS_PER_LANG of each at most and WINDOWS_PER_DOC windows of a row. There is no bound on labels but
+the sample's. Prediction covers every window of every whole text:
 the first layers are folded into tables of class pairs, so a position costs a few row lookups.
 
-Defined cases: null texts and texts without a letter are `und` with score 0; so is every text if there is nothing to
-learn from; rows without an id are predicted, not learned from and not held out; extra columns play no part.
+Defined cases: null texts and texts without a letter (str.isalpha) are `und` with score 0; so is every text if there is
+nothing to learn from; a text of any length is judged by all its windows; of equally likely labels the first by name is
+taken; rows without an id are predicted, not learned from and not held out; rows that repeat an id are rows of their own;
+an empty table gives no rows; extra columns play no part.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 
@@ -24,9 +25,8 @@ from pyspark.sql import types as T
 from loomline.llm.text import chunks
 
 WINDOW, CLASSES, DIMS, FILTERS, WIDTHS = 256, 64, 8, 16, (2, 3, 4)
-DOCS_PER_LANG, WINDOWS_PER_DOC, MAX_LANGS, EPOCHS, BATCH, RATE, SEED = 400, 4, 256, 6, 64, 0.01, 7
+DOCS_PER_LANG, LABELLED, WINDOWS_PER_DOC, EPOCHS, BATCH, RATE, SEED = 400, 100_000, 4, 6, 64, 0.01, 7
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 POSITIONS = WINDOW - max(WIDTHS) + 1
 
 
@@ -46,6 +46,10 @@ def byte_classes() -> np.ndarray:
 _CLASS = byte_classes()
 
 
+def has_letter(text: str | None) -> bool:
+    return bool(text) and any(map(str.isalpha, text))
+
+
 def windows(text: str) -> np.ndarray:
     """All windows of a text, as classes; the last is padded."""
     raw = _CLASS[np.frombuffer(text.encode(), np.uint8)]
@@ -138,7 +142,7 @@ class Tables:
         labels, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         if not self.labels:
             return labels, scores
-        which = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+        which = [i for i, t in enumerate(texts) if has_letter(t)]
         if which:
             each = [windows(texts[i]) for i in which]
             n = np.asarray([len(w) for w in each])
@@ -156,7 +160,7 @@ def _sample_windows(per_doc: int):
         for b in batches:
             langs, out = [], []
             for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist(), strict=True):
-                if text and _LETTER.search(text):
+                if has_letter(text):
                     w = windows(text)
                     for i in sorted({int(i) for i in np.linspace(0, len(w) - 1, per_doc)}):
                         langs.append(lang)
@@ -167,17 +171,18 @@ def _sample_windows(per_doc: int):
 
 
 def train(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = DOCS_PER_LANG) -> Tables:
-    """A network learned from rows that meet learn_from. Ids and labels are read for all; texts of the sample only."""
-    ids = docs.where(learn_from).select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang")).where("id is not null and lang is not null")
-    labels = [r.lang for r in ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
+    """A network learned from rows that meet learn_from. Labels are read for all; texts are shuffled of the sample only."""
+    lang = F.col(lang_col).cast("string")
+    rows = docs.where(learn_from).where(F.col(id_col).isNotNull() & lang.isNotNull()).select(F.col(id_col).alias("id"), lang.alias("lang"), F.col(text_col).alias("text"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LABELLED)
+    share = max(1, min(docs_per_lang, LABELLED // max(1, counts.count())))
     rng = np.random.default_rng(SEED)
-    if not labels:
-        return Network([], rng).tables()
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    picked = ids.where(F.col("lang").isin(labels)).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= docs_per_lang).select("id").distinct()
-    texts = docs.where(learn_from).select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    # at most docs_per_lang * MAX_LANGS ids
-    got = texts.where(F.col("lang").isin(labels)).join(F.broadcast(picked), "id", "left_semi").mapInArrow(_sample_windows(WINDOWS_PER_DOC), "lang string, window binary").toArrow()
+    # a few times the share of each label by a hash of the id, then its first rows: no label's rows all meet in one task
+    part = F.when(F.col("n") <= 4 * share, True).otherwise(F.pmod(F.xxhash64("id", "lang"), F.lit(1 << 30)) * F.col("n") < F.lit(4 * share) * (1 << 30))
+    some = rows.join(F.broadcast(counts), "lang").where(part)  # LABELLED rows at most are broadcast
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"))
+    picked = some.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= share)
+    got = picked.select("lang", "text").mapInArrow(_sample_windows(WINDOWS_PER_DOC), "lang string, window binary").toArrow()
     rows = sorted(zip(got["lang"].to_pylist(), got["window"].to_pylist(), strict=True))
     labels = sorted({r[0] for r in rows})
     net = Network(labels, rng)
