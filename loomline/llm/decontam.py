@@ -9,20 +9,25 @@ items above the threshold are then verified: enough of the word shingles of the
 together, must stand in the passage. An answer may be one shingle long, so it has no veto of its own; its share is
 reported beside the question's.
 
-Items go to the executors in groups of GROUP_TOKENS tokens at most (more items: more passes), each cut into indexes by
-item length and size. Statistics (document frequencies, mean length) are those of a group.
-
-Defined cases: null or empty texts match nothing; items without an id or without words are not searched for; an item
-without an answer part is verified by its question alone, and the reverse (a missing part's share is 1); repeated items and repeated rows each
-match; rows without an id are searched and reported with a null id; extra columns play no part.
+Items go to the executors in groups of about GROUP_TOKENS tokens (more items: more passes), each cut into indexes by
+item length and size. Statistics (document frequencies, number and mean length of items) are those of all items, so a
+score does not depend on the groups; a group takes the frequencies of its own words along.
+
+Defined cases: null or empty texts match nothing; very long texts are searched passage by passage; items without an id or
+without words are not searched for; an item without an answer part is verified by its question alone, and the reverse (a
+missing part's share is 1); items alike in id, question and answer count once, other items of one id each match;
+repeated rows each match; rows without an id are searched and reported with a null id; of equal scores the passage with
+the greater shares is reported, then the first; no items or an empty table: nothing is found; extra columns play no part.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from bisect import bisect_left
 from collections import Counter
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm import text as tx
+from loomline.session import cut
 
 K1, B, THRESHOLD, WIDTH, OVERLAP = 1.2, 0.75, 0.5, 5, 0.5
 BLOCK, INDEX_ITEMS, INDEX_TOKENS, GROUP_TOKENS = 4, 512, 100_000, 2_000_000
@@ -181,11 +187,26 @@ class Index:
         return [(d, self.ids[i], score, q, a, -at) for (d, i), (score, q, a, at) in best.items()]
 
 
-def indexes(items: list[tuple[int, list[bytes], list[bytes]]]) -> list[Index]:
-    """Indexes over items of a group, by item length (powers of four times 64 words) and in bounded sizes."""
+class Group(NamedTuple):
+    """A group of items, the document frequencies of its words among all items, and all items' number and mean length."""
+
+    name: str
+    items: list[tuple[int, list[bytes], list[bytes]]]
+    df: dict[bytes, int]
+    total: int
+    mean: float
+
+
+def whole_group(items: list[tuple[int, list[bytes], list[bytes]]]) -> Group:
+    """All items as one group."""
     items = [x for x in items if x[1] or x[2]]
     df = Counter(w for _, q, a in items for w in set(q + a))
-    mean = sum(len(q) + len(a) for _, q, a in items) / max(1, len(items))
+    return Group(uuid.uuid4().hex, items, df, len(items), sum(len(q) + len(a) for _, q, a in items) / max(1, len(items)))
+
+
+def indexes(group: Group) -> list[Index]:
+    """Indexes over items of a group, by item length (powers of four times 64 words) and in bounded sizes."""
+    _, items, df, total, mean = group
     out, now, tokens, level = [], [], 0, 0
     for x in sorted(items, key=lambda x: (len(x[1]) + len(x[2]), x[0])):
         n = len(x[1]) + len(x[2])
@@ -193,17 +214,28 @@ def indexes(items: list[tuple[int, list[bytes], list[bytes]]]) -> list[Index]:
         while n > 64 * 4**mine:
             mine += 1
         if now and (mine != level or len(now) >= INDEX_ITEMS or tokens + n > INDEX_TOKENS):
-            out.append(Index(now, df, len(items), mean))
+            out.append(Index(now, df, total, mean))
             now, tokens = [], 0
         level = mine
         now.append(x)
         tokens += n
-    return [*out, Index(now, df, len(items), mean)] if now else out
+    return [*out, Index(now, df, total, mean)] if now else out
+
+
+_BUILT: dict[str, list[Index]] = {}
+
+
+def _built(group: Group) -> list[Index]:
+    """The indexes of a group, built once in a worker process; only the last group's are kept."""
+    if group.name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[group.name] = indexes(group)
+    return _BUILT[group.name]
 
 
 def _search(group, threshold: float, overlap: float):
     def run(batches):
-        built = indexes(group.value)
+        built = _built(group.value)
         for b in tx.chunks(batches, "text"):
             codes, ends, distinct = tx.encode(b["text"].to_pylist())
             ids = b["id"].to_pylist()
@@ -221,15 +253,30 @@ def question_and_answer(items: DataFrame, id_col: str = "item_id", text_col: str
     return items.select(F.col(id_col).alias("item_id"), F.regexp_extract(text, r"(?s)^(.*[.!?])\s+\S.*$", 1).alias("head"), text.alias("whole")).select("item_id", F.when(F.col("head") != "", F.col("head")).otherwise(F.col("whole")).alias("question"), F.when(F.col("head") != "", F.expr("substring(whole, length(head) + 1)")).otherwise("").alias("answer"))
 
 
+def _words(column: str):
+    """The words of a text, as text.words has them."""
+    lower = F.translate(F.coalesce(F.col(column), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.filter(F.split(lower, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+
 def _groups(items: DataFrame):
     """Items in groups of GROUP_TOKENS tokens, about, one broadcast at a time."""
-    sc = items.sparkSession.sparkContext
-    known = items.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "question", "answer")
-    tokens = known.agg(F.sum(F.size(F.split(F.concat_ws(" ", "question", "answer"), r"[\x20\x09-\x0D]+")))).first()[0] or 0
-    groups = max(1, -(-tokens // GROUP_TOKENS))
+    spark = items.sparkSession
+    known = items.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "question", "answer").distinct()
+    known = cut(known.withColumn("words", F.concat(_words("question"), _words("answer"))).where(F.size("words") > 0))
+    sums = known.agg(F.sum(F.size("words")).alias("tokens"), F.count("*").alias("n")).first()
+    groups = max(1, -(-(sums.tokens or 0) // GROUP_TOKENS))
+    share = lambda df: df.withColumn("g", F.pmod(F.xxhash64("item_id", "question", "answer"), F.lit(groups)))
+    of = lambda rows: [(r.item_id, tx.words(r.question), tx.words(r.answer)) for r in rows]
+    if groups == 1:
+        yield spark.sparkContext.broadcast(whole_group(of(known.collect())))
+        return
+    each = share(known).select("g", F.explode(F.array_distinct("words")).alias("word"))
+    df = each.groupBy("word").agg(F.count("*").alias("n"))
+    df = cut(each.distinct().join(df, "word"))  # g, word, n: each group's words with their frequencies among all items
     for g in range(groups):
-        rows = known.where(F.pmod(F.xxhash64("item_id"), F.lit(groups)) == g).collect()
-        yield sc.broadcast([(r.item_id, tx.words(r.question), tx.words(r.answer)) for r in rows])
+        mine, often = share(known).where(F.col("g") == g).collect(), df.where(F.col("g") == g).select("word", "n").collect()
+        yield spark.sparkContext.broadcast(Group(uuid.uuid4().hex, of(mine), {r.word.encode(): r.n for r in often}, sums.n, sums.tokens / sums.n))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
@@ -241,7 +288,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 def _without(group, text_col: str, threshold: float, overlap: float):
     def run(batches):
-        built = indexes(group.value)
+        built = _built(group.value)
         for b in tx.chunks(batches, text_col):
             encoded = tx.encode(b.column(text_col).to_pylist())
             keep = np.ones(b.num_rows, bool)
