@@ -1,28 +1,28 @@
 """Sharding (operator 4): extendible hashing.
 
 A directory is indexed by leading bits of the documents' hashes; only buckets whose documents have more bytes than the
-limit are split on their next bit, until every shard fits. Bytes are summed by hash cell before anything is decided
-(cells are a few bits finer than the total asks for) and rolled up to all shorter prefixes; a cell belongs to the
-shortest prefix that fits. Cells that are too large alone go on with further bits, down to the whole hash.
+limit are split on their next bit, until every shard fits. The directory grows by STEP bits at a time: below each
+bucket that is still too large, bytes are summed by cell (the next STEP bits) and from there by every shorter prefix; a
+cell belongs to the shortest prefix that fits, and the cells of none are the buckets that go on, down to the whole
+hash. So a bucket never has more than 2**STEP rows to be joined with, however large the table is.
 
 The hash is the first 60 bits of the MD5 of the id as text. Rows that share a whole hash and exceed a shard together
 are cut into pages: rows over half the limit get a page each, others fill pages by running sums of their bytes (sums by
 partition first, so no task holds the group).
 
-Defined cases: a null text has no bytes; rows without an id hash as the empty text; one row larger than the limit is a
-shard or page of its own, marked oversize; an empty table has no shards; extra columns play no part.
+Defined cases: a null or empty text has no bytes; rows without an id hash as the empty text; rows that repeat an id share
+a hash; one row larger than the limit is a shard or page of its own, marked oversize; an empty table has no shards; extra
+columns play no part.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.session import cut
 
-LIMIT, BITS, FINER, STEP = 1 << 20, 60, 4, 12
+LIMIT, BITS, STEP = 1 << 20, 60, 8
 
 
 def key_bits(id_col: str) -> Column:
@@ -58,8 +58,7 @@ def _pages(rows: DataFrame, limit: int) -> DataFrame:
 def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, depth, prefix (the leading depth bits), page, shard_bytes, oversize for each row."""
     rows = cut(docs.select(F.col(id_col).alias("doc_id"), key_bits(id_col).alias("h"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("bytes")))
-    total = rows.agg(F.sum("bytes")).first()[0] or 0
-    low, top, left, done = 0, min(BITS, FINER + math.ceil(math.log2(max(1, total / limit)))), rows, None
+    low, top, left, done = 0, STEP, rows, None
     while True:
         cell = F.shiftright("h", BITS - top).alias("cell")
         cells = cut(left.groupBy(cell).agg(F.sum("bytes").alias("bytes")))
