@@ -1,4 +1,8 @@
-"""Connected components of an edge table by alternating large-star and small-star steps."""
+"""Connected components of an edge table by alternating large-star and small-star steps.
+
+Defined cases: edges with a null end and edges of a node with itself join nothing and name no node; repeated edges and
+edges in both directions count once; an empty table gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -25,7 +29,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """edges (a, b) -> node, root: the least node of its component, for each node with an edge."""
-    edges = cut(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a != b").distinct())
+    edges = cut(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a != b").distinct())  # a null end is no match
     digest = None
     while True:
         edges = cut(_star(_star(edges, True), False))

@@ -21,10 +21,21 @@ def maybe_among(df: DataFrame, key: Column, keys: DataFrame, flag: str) -> DataF
     return joined.withColumn(flag, F.coalesce(hit, F.lit(False))).drop(word, bit, f"{flag}_bits")
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A name that no column of df begins with, whatever the case."""
+    while any(c.lower().startswith(stem) for c in df.columns):
+        stem += "_"
+    return stem
+
+
 def without(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """Rows of df whose key is not in keys (an anti join that shuffles only rows that may be)."""
-    flag, gone = "__maybe", keys.select(F.col(keys.columns[0]).cast("long").alias("__gone"))
-    marked = maybe_among(df, F.col(key), gone, flag)
+    """Rows of df whose key is not in keys (an anti join that shuffles only rows that may be), and rows without a key.
+
+    Columns of df may have any names; an empty keys keeps all rows.
+    """
+    flag, name = free_name(df, "maybe"), free_name(df, "gone")
+    gone = keys.select(F.col(keys.columns[0]).cast("long").alias(name))
+    marked = maybe_among(df, F.col(f"`{key}`"), gone, flag)
     sure = marked.where(~F.col(flag)).drop(flag)
     rest = marked.where(F.col(flag)).drop(flag)
-    return sure.unionByName(rest.join(gone, rest[key].cast("long") == F.col("__gone"), "left_anti"))
+    return sure.unionByName(rest.join(gone, F.col(f"`{key}`").cast("long") == F.col(name), "left_anti"))

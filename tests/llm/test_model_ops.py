@@ -31,7 +31,7 @@ def babble(rng, lang, n):
 def test_language_id_held_out(spark):
     rng = random.Random(1)
     rows = [(i, babble(rng, lang := rng.choice(["en", "de", "fr"]), rng.randint(20, 200)), lang) for i in range(400)]
-    rows += [(900, None, "en"), (901, "", "en"), (902, "123 !!", "de"), (903, babble(rng, "fr", 20_000), None), (None, babble(rng, "en", 50), "en")]
+    rows += [(900, None, "en"), (901, "", "en"), (902, "123 !! ²½", "de"), (903, babble(rng, "fr", 20_000), None), (None, babble(rng, "en", 50), "en")]
     df = docs(spark, rows).withColumn("held_out", langid.held_out("doc_id", 4, 2))
     model = langid.train(df, ~F.col("held_out"), docs_per_lang=60)
     got = langid.identify(df, model, ["doc_id", "held_out"]).collect()
@@ -336,20 +336,21 @@ def test_license_lines_found_by_words_are_all_there_are():
 
 
 def nearest(rows, k):
-    ok = [(i, [math.floor(float(x) * 1024) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    ok = [(i, [math.floor(float(x) * 1024) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in sorted({i for i, _ in ok if i % 100 == 0}):
-        a = min(v for i, v in ok if i == q)
-        scores = sorted((-sum(x * y for x, y in zip(a, v, strict=True)), i) for i, v in ok if i != q and len(v) == len(a))
-        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
-    return out
+    for at, (q, a) in enumerate(ok):
+        if q % 100 == 0:
+            scores = sorted((-sum(x * y for x, y in zip(a, v, strict=True)), i) for n, (i, v) in enumerate(ok) if n != at and len(v) == len(a))
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+    return sorted(out)
 
 
 def test_exact_topk(spark):
     rng = np.random.default_rng(9)
     f = lambda x: [float(np.float32(y)) for y in x]
     rows = [(i, f(rng.normal(size=40) * (1 + i % 5))) for i in range(700)] + [(1000 + i, f(np.ones(40))) for i in range(15)]
-    rows += [(2000, None), (2001, [1.0, None] * 20), (2002, f([np.nan] * 40)), (2003, f([np.inf] * 40)), (None, f(np.ones(40))), (2100, f(np.ones(3))), (2101, f(np.ones(3))), (2200, []), (100, f(np.ones(40))), (2300, f(np.zeros(40)))]
+    rows += [(2000, None), (2001, [1.0, None] * 20), (2002, f([np.nan] * 40)), (2003, f([np.inf] * 40)), (None, f(np.ones(40))), (2100, f(np.ones(3))), (2101, f(np.ones(3))), (2200, []), (100, f(np.ones(40))), (2300, f(np.zeros(40))), (200, None), (300, [None] * 40)]
+    rows += [rows[500]] * 3 + [(2500, [])]  # rows alike, and another id
     df = spark.createDataFrame([(i, v, 1, 2.0) for i, v in rows], "vec_id long, embedding array<float>, label int, score double").repartition(5)
     got = topk_search.exact_topk(df, F.col("vec_id") % 100 == 0)
     assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == nearest(rows, 10)
@@ -359,7 +360,7 @@ def test_exact_topk(spark):
 
 
 def test_exact_topk_of_huge_components(spark):
-    rows = [(100, [1e30, -1e30]), (1, [1e30, 1e30]), (2, [-1e30, 3e30]), (3, [2e30, 0.0])]
+    rows = [(100, [1e30, -1e30]), (1, [1e30, 1e30]), (2, [-1e30, 3e30]), (3, [2e30, 0.0]), (4, [1.7e306, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = topk_search.exact_topk(df, F.col("vec_id") % 100 == 0).collect()
     assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"])] == [3, 1, 2]

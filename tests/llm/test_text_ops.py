@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from loomline.llm import decontam, line_dedup, packing, prefilter, queries, sketch_join
 from loomline.llm import text as tx
@@ -198,6 +199,10 @@ def test_prefilter(spark):
     df = spark.range(1000).withColumn("key", F.col("id")).union(spark.sql("SELECT -1L, CAST(NULL AS LONG)"))
     left = prefilter.without(df, "key", spark.range(0, 1000, 3).toDF("k"))
     assert {r.id for r in left.collect()} == {i for i in range(1000) if i % 3} | {-1}
+    names = ["key", "maybe", "maybe_word", "maybe_bit", "maybe_bits", "gone", "__maybe", "__gone"]
+    odd = spark.createDataFrame([tuple(range(i, i + 8)) for i in range(9)], names)
+    left = prefilter.without(odd, "key", spark.range(0, 9, 2).toDF("k"))
+    assert left.columns == names and {tuple(r) for r in left.collect()} == {tuple(range(i, i + 8)) for i in range(1, 9, 2)}
 
 
 # --- decontamination ---
@@ -222,7 +227,7 @@ def test_decontamination_against_all_items(spark):
     q = decontam.question_and_answer(spark.createDataFrame(items, "item_id long, text string"))
     split = {r.item_id: (tx.words(r.question), tx.words(r.answer)) for r in q.collect() if r.item_id is not None}
     got = {(r.doc_id, r.item_id): (r.question_overlap, r.answer_overlap) for r in decontam.contaminated(docs(spark, rows), q).collect()}
-    index = decontam.indexes([(i, *p) for i, p in split.items()])
+    index = decontam.indexes(decontam.whole_group([(i, *p) for i, p in split.items()]))
     want = set()
     for d, t in rows:
         w = tx.words(t)
@@ -249,6 +254,18 @@ def test_decontamination_against_all_items(spark):
     assert decontam.contaminated(docs(spark, rows), none).count() == 0 and decontam.clean(docs(spark, rows), none).count() == len(rows)
 
 
+def test_decontamination_scores_do_not_depend_on_groups(spark, monkeypatch):
+    rng = random.Random(14)
+    sentence = lambda n: " ".join("".join(rng.choices("abcde", k=2)) for _ in range(n)) + "."
+    items = [(i, f"{sentence(rng.randint(6, 30))} {sentence(4)}") for i in range(40)] + [(3, sentence(12)), (5, "A B")]
+    rows = [(i, sentence(20) + " " + " ".join(w for w in items[i][1].split() if rng.random() < 0.93) + " " + sentence(20)) for i in range(40)]
+    q = decontam.question_and_answer(spark.createDataFrame([*items, items[7]], "item_id long, text string"))
+    found = lambda: sorted((r.doc_id, r.item_id, round(r.score, 12)) for r in decontam.contaminated(docs(spark, rows), q).collect())
+    whole = found()
+    monkeypatch.setattr(decontam, "GROUP_TOKENS", 200)
+    assert found() == whole and len(whole) > 20
+
+
 def test_decontamination_of_items_with_short_answers(spark):
     """Text glued to an answer's end, or another answer word, doesn't hide a whole question; an answer alone is no leak."""
     rng = random.Random(12)
@@ -271,7 +288,9 @@ ALPHABET = list("ab Zé ñ\n\t  '.,!?5²½٣漢字🙂​́ \x00\x1c\x85ſß’
 def test_ids_are_those_of_the_tokenizer():
     enc, rng = packing.Encoder(queries.tokenizer_path()), random.Random(6)
     texts = ["".join(rng.choices(ALPHABET, k=rng.randint(0, 60))) for _ in range(3000)] + ["".join(rng.choices("ab Z\n'.,5 é|&$~`", k=50)) for _ in range(2000)] + [None, "", "a" * 50_000]
-    want = [e.ids + [1] for e in enc.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    plain = Tokenizer.from_file(queries.tokenizer_path())
+    want = [e.ids + [1] for e in plain.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert enc.encode(["a <|endoftext|> b"])[0].tolist() == [64, 220, 50256, 275, 1]
     assert enc.ranked is not None and [x.tolist() for x in enc.encode(texts)] == want
     enc.ranked = None
     assert [x.tolist() for x in enc.encode(texts)] == want
@@ -303,10 +322,11 @@ def test_best_fit_decreasing(lengths):
 
 def test_packing(spark):
     rng = random.Random(8)
-    rows = [(i, " ".join(rng.choices(["alpha", "beta", "été", "of"], k=rng.choice([0, 3, 50, 700])))) for i in range(120)] + [(200, None), (201, "word " * 9000), (3, "again the same id"), (None, "no id")]
+    rows = [(i, " ".join(rng.choices(["alpha", "beta", "été", "of"], k=rng.choice([0, 3, 50, 700])))) for i in range(120)] + [(200, None), (201, "word " * 9000), (3, "again the same id"), (None, "no id"), (202, "<|endoftext|>" * 3 + " x")]
     pieces = packing.tokenize_pieces(docs(spark, rows), queries.tokenizer_path())
     got = packing.pack(pieces.withColumn("crc", F.crc32("ids")), bundle=40).toPandas()
-    ids = packing.Encoder(queries.tokenizer_path()).encode([t for _, t in rows])
+    plain = Tokenizer.from_file(queries.tokenizer_path())
+    ids = [np.asarray([*e.ids, 1], "<u4") for e in plain.encode_batch([t or "" for _, t in rows], add_special_tokens=False)]
     assert sorted(zip(got.doc_tokens, got.crc, got.length, strict=True)) == sorted((len(x), zlib.crc32(x[s : s + 2048].tobytes()), len(x[s : s + 2048])) for x in ids for s in range(0, len(x), 2048))
     for _, g in got.sort_values("offset").groupby("sequence_id"):
         assert (g.offset.to_numpy() == np.cumsum(g.length) - g.length).all() and g.length.sum() <= 2048
