@@ -386,6 +386,39 @@ def test_cotraining_held_out(spark):
     assert np.mean([by[i] == q for i, q in labels[200:] if i != 3]) > 0.95
 
 
+def test_cotraining_equals_a_plain_one_over_all_rows(spark):
+    """The rounds over partitions pick the rows that one pass over all of them would."""
+    rng = random.Random(11)
+    rows, labels = [], []
+    for i in range(900):
+        bad = rng.random() < 0.4
+        text = " ".join(rng.choice(["buy", "now", "$$$", "the"] if bad else ["the", "house", "we", "saw", "now"]) for _ in range(rng.randint(1, 60)))
+        rows.append((i, text, rng.choice(["en", "de"]), rng.choice("xyz") if rng.random() < 0.3 else ("x" if bad else "y"), len(text)))
+        labels.append((i, int(not bad)))
+    rows += rows[500:520] + [(None, "the house", "en", "y", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(7)
+    known = spark.createDataFrame(labels[:150], "doc_id long, quality int")
+    got = sorted((r.doc_id, round(r.text_score, 9), round(r.meta_score, 9), round(r.score, 9)) for r in quality.score_quality(df, known).collect() if r.doc_id is not None)
+    spot = [(r.doc_id, r.key, r.h) for r in df.select("doc_id", F.xxhash64("doc_id", "text", "lang", "source", "n_chars").alias("key"), F.xxhash64("doc_id").alias("h"), "text").collect()]
+    at = {r: (k, h) for r, k, h in spot}
+    features = lambda some: quality.pack(quality.text_features([r[1] for r in some]), quality.meta_places(*([r[c] for r in some] for c in (2, 3, 4))))
+    marked = sorted(rows[:150], key=lambda r: at[r[0]][1])
+    free = [r for r in rows if r[0] is not None and r[0] >= 150]
+    packed, keys, rounds = features(free), np.asarray([at[r[0]][0] for r in free]), []
+
+    def pick(models, taken, share):
+        out = []
+        for teacher, (model, view) in enumerate(zip(models, quality.unpack(packed), strict=True)):
+            out += [(teacher, label, int(keys[i]), packed[i]) for label, found in quality.surest(model(view), keys, share, taken[1 - teacher]) for i in found]
+        rounds.append(len(out))
+        return out
+
+    model = quality.CoTrained(quality.unpack(features(marked)), np.asarray([float(labels[r[0]][1]) for r in marked]), pick)
+    scores = model.score(*quality.unpack(features(rows)))
+    assert got == sorted((r[0], *(round(float(s[i]), 9) for s in scores)) for i, r in enumerate(rows) if r[0] is not None)
+    assert len(rounds) > 1 and rounds[0] > 100
+
+
 def test_cotraining_without_labels(spark):
     df = spark.createDataFrame([(1, "a", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
     labels = spark.createDataFrame([], "doc_id long, quality int")
