@@ -133,7 +133,15 @@ FROM s WHERE total <= 1048576 OR d = 60 QUALIFY row_number() OVER (PARTITION BY
 
 @_query
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.floor(F.col("doc_id") / 100).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    """Documents have no paths: they lie in three levels of directories, and at each some are licence files."""
+    n, top = F.col("doc_id"), F.coalesce("source", F.lit("unknown"))
+    level = lambda k: F.floor(n / k).cast("string")
+    path = (
+        F.when(n % 5000 == 0, F.concat_ws("/", top, F.lit("LICENSE")))
+        .when(n % 500 == 0, F.concat_ws("/", top, level(1000), F.lit("COPYING")))
+        .when(n % 20 == 0, F.concat_ws("/", top, level(1000), level(100), F.lit("LICENSE.md")))
+        .otherwise(F.concat_ws("/", top, level(1000), level(100), F.concat(n.cast("string"), F.lit(".txt"))))
+    )
     return licenses.scan_licenses(read(spark, sf_dir, "documents").withColumn("path", path), "doc_id", "path").withColumnRenamed("id", "doc_id")
 
 

@@ -2,8 +2,10 @@
 
 import collections
 import functools
+import itertools
 import math
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -307,21 +309,73 @@ def test_sharding_of_one_id(spark):
 
 def test_license_scan(spark):
     apache = "Licensed under the Apache License, Version 2.0."
+    bsd = "Copyright (c) 2020, Some One\n\n" + dict(licenses.TEMPLATES[::-1])["BSD-3-Clause"]
     files = [
         (0, "a/LICENSE", "The MIT notice\nReleased under the MIT License.\nmore words that are not a notice at all here"), (1, "a/b/c.txt", "text"), (2, "a/b/d.txt", f"\n{apache}\nwords"), (3, "a/b/x/y.txt", None), (4, "z/q.txt", "nothing mit in"),
         (5, None, ""), (6, "a/e.txt", f"some words\n{apache}\nwords"), (7, "top.txt", "x\nlicensed UNDER cc by-nc 4.0"), (8, "b/k.txt", "none"), (8, "b/k.txt", "none"), (9, "a/big.txt", "word " * 60_000),
+        (10, "b/deep/down/COPYING", textwrap.fill(bsd, 60, replace_whitespace=False)), (11, "b/deep/down/er/f.c", "int x;"), (12, "b/deep/g.c", "int y;"), (13, "b/deep/down/LICENSE.md", "Released under the ISC License."),
+        (14, "c.c", "/*\n" + "\n".join(" * " + x for x in textwrap.wrap(licenses.TEMPLATES[0][1].split("\n\n")[0], 50)) + "\n */\nint main;"),
     ]
     df = spark.createDataFrame([(i, p, t, 1, "c") for i, p, t in files], "id long, path string, text string, score int, dir string")
     got = sorted((r.id, r.license, r.origin, r.declared_by) for r in licenses.scan_licenses(df, "id", "path").collect())
     assert got == [
-        (0, "MIT", "own", 0), (1, "Apache-2.0", "inherited", 2), (2, "Apache-2.0", "own", 2), (3, "Apache-2.0", "inherited", 2), (4, "CC-BY-NC-4.0", "inherited", 7), (5, "CC-BY-NC-4.0", "inherited", 7),
-        (6, "Apache-2.0", "own", 6), (7, "CC-BY-NC-4.0", "own", 7), (8, "CC-BY-NC-4.0", "inherited", 7), (8, "CC-BY-NC-4.0", "inherited", 7), (9, "MIT", "inherited", 0),
+        (0, "MIT", "own", 0), (1, "MIT", "inherited", 0), (2, "Apache-2.0", "own", 2), (3, "MIT", "inherited", 0), (4, None, "none", None), (5, None, "none", None),
+        (6, "Apache-2.0", "own", 6), (7, "CC-BY-NC-4.0", "own", 7), (8, None, "none", None), (8, None, "none", None), (9, "MIT", "inherited", 0),
+        (10, "BSD-3-Clause", "own", 10), (11, "ISC", "inherited", 13), (12, None, "none", None), (13, "ISC", "own", 13), (14, "Apache-2.0", "own", 14),
     ]
     assert licenses.scan_licenses(df.limit(0), "id", "path").count() == 0
 
 
+def plain_match(text, pieces, threshold):
+    """Cosines of a text with all pieces, by dictionaries."""
+    bags = [collections.Counter(licenses._words(t)) for _, t in pieces]
+    idf = {w: math.log((1 + len(bags)) / (1 + sum(w in b for b in bags))) + 1 for b in bags for w in b}
+    vector = lambda bag: {w: (1 + math.log(n)) * idf.get(w, math.log(1 + len(bags)) + 1) for w, n in bag.items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    mine = vector(collections.Counter(licenses._words(text)))
+    scores = [(-sum(x * v.get(w, 0) for w, x in mine.items()) / (norm(mine) * norm(v)), n) for (n, _), v in zip(pieces, map(vector, bags), strict=True)] if mine else []
+    return min(((round(s, 9), n) for s, n in scores if -s >= threshold), default=None)
+
+
+def test_license_scan_against_all_templates(spark):
+    """Every line, paragraph and licence file against every template, and directories walked up one by one."""
+    rng = random.Random(13)
+    units = [t for _, t in licenses.pieces(licenses.TEMPLATES)]
+    vocabulary = sorted({w for t in units for w in licenses._words(t)}) + ["other", "mitten", "house"]
+    names = ["LICENSE", "COPYING.txt", "a.py", "b.c", "notes.md"]
+    files = []
+    for i in range(160):
+        parts = []
+        for _ in range(rng.randint(0, 4)):
+            words = rng.choice(units).split() if rng.random() < 0.5 else rng.choices(vocabulary, k=rng.randint(1, 12))
+            words = [w for w in words if rng.random() < 0.95]
+            lead = rng.choice(["", "", "# ", "// ", " * "])
+            parts.append("\n".join(lead + x for x in textwrap.wrap(" ".join(words), rng.choice([40, 10_000]))))
+        files.append((i, "/".join(rng.choices("pqr", k=rng.randint(0, 3)) + [rng.choice(names)]), rng.choice(["\n", "\n\n"]).join(parts)))
+    pieces, own = licenses.pieces(licenses.TEMPLATES), {}
+    for i, path, text in files:
+        lines = text.split("\n")
+        whole = plain_match(licenses.joined(lines), pieces, licenses.THRESHOLD) if path.split("/")[-1] in names[:2] else None
+        blocks = [list(b) for blank, b in itertools.groupby(lines, key=lambda x: not licenses._MARKS.sub("", x)) if not blank]
+        found = [m for x in lines + [licenses.joined(b) for b in blocks] if (m := plain_match(x, pieces, licenses.THRESHOLD))]
+        own[i] = whole or min(found, default=None)
+    want = []
+    for i, path, _ in files:
+        best, parts = None, path.split("/")[:-1]
+        for n in range(len(parts), -1, -1):
+            here = [(own[k][0], k) for k, p, _ in files if p.split("/")[:-1] == parts[:n] and p.split("/")[-1] in names[:2] and own[k]]
+            if here:
+                best = min(here)[1]
+                break
+        want.append((i, own[i][1] if own[i] else own[best][1] if best is not None else None, round(-own[i][0], 6) if own[i] else 0.0, i if own[i] else best))
+    df = spark.createDataFrame(files, "id long, path string, text string").repartition(5)
+    got = sorted((r.id, r.license, round(r.score, 6), r.declared_by) for r in licenses.scan_licenses(df, "id", "path").collect())
+    assert [(g[0], g[2], g[3]) for g in got] == [(w[0], w[2], w[3]) for w in want]
+    assert got == want and len({w[1] for w in want}) > 6 and any(w[3] not in (None, w[0]) for w in want)
+
+
 def test_license_lines_found_by_words_are_all_there_are():
-    """Lines without a heavy word of a template can't reach the threshold: the automaton misses nothing."""
+    """Lines without an anchor of a template can't reach the threshold: the automaton misses nothing."""
     m, rng = licenses.Matcher(), random.Random(8)
     vocabulary = sorted(m.idf) + ["other", "word", "mitten"]
     for _ in range(3000):
@@ -329,7 +383,7 @@ def test_license_lines_found_by_words_are_all_there_are():
         best = m.match(line)
         assert (m.scan(line, False)[0] is not None) == (best is not None)
     for name, text in licenses.TEMPLATES:
-        assert m.scan(f"x\n{text}", False)[0] == name
+        assert m.scan(text, True)[0] == name
 
 
 # --- top-k ---
