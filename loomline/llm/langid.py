@@ -178,7 +178,7 @@ def train(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col:
     share = max(1, min(docs_per_lang, LABELLED // max(1, counts.count())))
     rng = np.random.default_rng(SEED)
     # a few times the share of each label by a hash of the id, then its first rows: no label's rows all meet in one task
-    part = F.when(F.col("n") <= 4 * share, True).otherwise(F.pmod(F.xxhash64("id", "lang"), F.lit(1 << 30)) * F.col("n") < F.lit(4 * share) * (1 << 30))
+    part = (F.col("n") <= 4 * share) | (F.pmod(F.xxhash64("id", "lang"), F.lit(1 << 30)) / float(1 << 30) * F.col("n") < 4 * share)
     some = rows.join(F.broadcast(counts), "lang").where(part)  # LABELLED rows at most are broadcast
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", F.xxhash64("text"))
     picked = some.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= share)

@@ -7,7 +7,8 @@ reports its first and last run (one row a partition), and the totals of those ru
 The result is a zlib-compressed bitmap of kept lines for each document, not text.
 
 Defined cases: null or empty text is one empty line; rows without an id are kept whole and not counted; rows that
-repeat an id count as one document, and each row has its own bitmap; extra columns are carried if asked for.
+repeat an id count as one document, and each row has its own bitmap; a text of any length is cut up whole; an empty
+table gives no rows; extra columns are carried if asked for, but for those named like the columns added.
 """
 
 from __future__ import annotations

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from loomline.llm import text as tx
 from loomline.llm.components import components
-from loomline.llm.prefilter import maybe_among
+from loomline.llm.prefilter import free_name, maybe_among, without
 from loomline.session import cut, spilled, sweep
 
 WIDTH, NUM, DEN = 5, 4, 5
@@ -245,21 +245,53 @@ def _within(x: str, y: str, num: int, den: int) -> Column:
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, n_shingles, component_id for each row: components of the links of similarity num/den or more."""
+    nodes, classes = _components(docs, id_col, text_col, width, num, den)
+    out = nodes.select("doc", "n", "cid").join(classes.select("cid", "least"), "cid", "left")
+    return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
+    """docs with one row of each component: that of the least id (a row without an id only where none has one), then of
+    the least hash of id and text. Rows alike in id and text are one row of a component. Texts without words all stay."""
+    nodes, classes = _components(docs, id_col, text_col, width, num, den)
+    key = free_name(docs, "rowkey")
+    keyed = docs.withColumn(key, row_key(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")))
+    spoken = nodes.where("n > 0").select("k", "cid")
+    gone = cut(spoken.join(classes.select("cid", F.col("first.k").alias("keep")), "cid").where("k != keep").select("k").distinct())
+    left = without(keyed, key, gone)
+    again = cut(spoken.groupBy("k").agg(F.count("*").alias("rows")).where("rows > 1").select("k"))
+    flag = free_name(left, "again")
+    marked = maybe_among(left, F.col(key), again, flag)
+    several = marked.where(F.col(flag)).drop(flag)
+    sure, maybe = marked.where(~F.col(flag)).drop(flag), several.join(again, several[key] == again["k"], "left_anti")
+    rest = [c for c in docs.columns]
+    firsts = several.join(again, several[key] == again["k"], "left_semi").groupBy(key).agg(F.first(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)])).alias("x"))
+    once = firsts.select(*[F.col(f"x.c{i}").alias(c) for i, c in enumerate(rest)])
+    return sure.drop(key).unionByName(maybe.drop(key)).unionByName(once)
+
+
+def row_key(doc: Column, text: Column) -> Column:
+    return F.xxhash64(doc, text)
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """A row (doc, k, n, cid) for each of docs, and for each class of equal sets (cid) the least id and the first row
+    (first: nameless, doc, k) of its component."""
     bands = Bands(num, den)
-    doc, text = F.col(id_col).cast("long"), F.col(text_col)
-    base = docs.select(doc.alias("_doc"), F.xxhash64(doc, text).alias("_k"), text.alias("_text"))
+    doc, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
+    base = docs.select(doc.alias("_doc"), row_key(doc, text).alias("_k"), text.alias("_text"))
     nodes = cut(base.mapInArrow(_classes(width, bands), f"doc long, k long, n long, cid long, {_INFO}"))
     with spilled(_runs(base, width, bands)) as runs:
         sweep(docs.sparkSession)
         links = _links(base, nodes, runs, width, num, den)
-    least = nodes.where("n > 0").groupBy("cid").agg(F.min("doc").alias("least"))
+    first = F.min(F.struct(F.col("doc").isNull().alias("nameless"), "doc", "k")).alias("first")
+    classes = nodes.where("n > 0").groupBy("cid").agg(F.min("doc").alias("least"), first)
     if links is not None:  # written tables on both sides: adaptive execution can split a component of very many classes
         of = components(links).withColumnsRenamed({"node": "cid"})
-        known = cut(least.join(of, "cid", "left").withColumn("root", F.coalesce("root", "cid")))
-        roots = cut(known.groupBy("root").agg(F.min("least").alias("least")))
-        least = cut(known.select("cid", "root").join(roots, "root").select("cid", "least"))
-    out = nodes.select("doc", "n", "cid").join(least, "cid", "left")
-    return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
+        known = cut(classes.join(of, "cid", "left").withColumn("root", F.coalesce("root", "cid")))
+        roots = cut(known.groupBy("root").agg(F.min("least").alias("least"), F.min("first").alias("first")))
+        classes = known.select("cid", "root").join(roots, "root").select("cid", "least", "first")
+    return nodes, cut(classes)
 
 
 def _runs(base: DataFrame, width: int, bands: Bands) -> DataFrame:

@@ -362,3 +362,29 @@ def test_pipeline(spark, tmp_path):
     assert set(kept["decontamination"]) == set(kept["near_duplicates"]) - {104}
     out = cp.run(spark, str(tmp_path)).toPandas()
     assert set(out.doc_id) == set(kept["decontamination"]) and (out.groupby("doc_id").length.sum() == out.groupby("doc_id").doc_tokens.first()).all()
+
+
+def test_pipeline_stages_of_odd_tables(spark, tmp_path):
+    """Empty tables, a very long text, clashing names, repeated and null ids, no labels at all."""
+    import corpus_pipeline as cp
+
+    names = "doc_id long, text string, lang string, source string, n_chars long, maybe string, maybe_word int, __maybe string, __gone long, rowkey long, again boolean, c0 int, _doc string, score double"
+    tail = ("m", 1, "x", 5, 6, True, 7, "d", 0.5)
+    table = lambda rows: spark.createDataFrame([(i, t, lang, "s", len(t or ""), *tail) for i, t, lang in rows], names)
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    now = table([])
+    for _, stage in cp.STAGES:
+        assert stage(spark, now, str(tmp_path)).count() == 0
+    rng = random.Random(3)
+    say = lambda n: " ".join("".join(rng.choices("abcdefgh", k=4)) for _ in range(n))
+    one, two, three, four = say(30), say(30), say(30), say(40)
+    rows = [(1, one, None), (1, one, None), (1, two, None), (2, two, None), (None, three, None), (None, three, None), (3, four, None), (None, four, None), (4, None, None), (5, "", None), (5, "", None), (6, "12 34", None), (7, say(100_000), None)]
+    docs_ = table(rows)
+    assert sorted(r.doc_id or 0 for r in cp.language(spark, docs_, "").collect()) == [0, 0, 0, 1, 1, 1, 2, 3, 7]
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs_, str(tmp_path))
+        assert out.columns == docs_.columns and all(tuple(r)[5:] == tail for r in out.collect()), name
+    kept = sorted(((r.doc_id, r.text) for r in cp.near_duplicates(spark, docs_, "").collect()), key=repr)
+    assert kept == sorted([(1, one), (1, two), (None, three), (3, four), (4, None), (5, ""), (5, ""), (6, "12 34"), (7, rows[-1][1])], key=repr)
+    packed = cp.pack(spark, docs_, "").toPandas()
+    assert packed[packed.start == 0].shape[0] == len(rows)
