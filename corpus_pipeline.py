@@ -1,7 +1,15 @@
 """A cleaning pipeline over `documents`: language ID, line dedup, near-duplicate join, decontamination, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the one before it kept; all but the last return the
-columns of docs, whatever they are called. Rows that share an id stand or fall together in the near-duplicate stage.
+columns of docs, whatever they are called.
+
+Defined cases, stage by stage. Null and empty texts go in the language stage, as texts without a letter do; handed to a
+later stage, they are one empty line, are near duplicates of nothing, hold no item, and are packed as an end id. Very
+long texts are read whole by every stage. Rows that repeat an id, and rows without one, are rows of their own: the line
+stage counts rows of one id as one document and keeps rows without an id whole; of a group of near duplicates one row
+stays, that of the least id, and of rows alike in id and text one; the others treat each row by its text alone. Of lines
+that many documents hold those of the greatest id stay. Empty tables pass through every stage; with an empty benchmark
+all documents stay; with no label in the whole table all texts with a letter stay.
 """
 
 from __future__ import annotations
@@ -9,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm import decontam, langid, line_dedup, packing, prefilter, sketch_join
+from loomline.llm import decontam, langid, line_dedup, packing, sketch_join
 from loomline.llm.queries import tokenizer_path
 from loomline.session import cut, read, ship
 
@@ -28,10 +36,12 @@ def _named(docs: DataFrame, place: dict[str, str]) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language."""
+    """Documents in a known language; where no row has a label to learn from, those with a letter."""
     ship(spark)
     rows, at = _numbered(docs)
     model = langid.train(rows, F.lit(True), at["doc_id"], at["text"], at["lang"])
+    if not model.labels:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     seen = langid.identify(rows, model, list(at.values()), at["text"])
     return _named(seen.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)), at)
 
@@ -48,8 +58,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the least id."""
     ship(spark)
-    groups = sketch_join.jaccard_components(docs)
-    return prefilter.without(docs, "doc_id", cut(groups.where("doc_id != component_id").select("doc_id").distinct()))
+    return sketch_join.one_of_each(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
