@@ -9,14 +9,14 @@ of few bits, as long as no more than the spare groups have any: empty and nearly
 one common passage, are not joined on. Sets meet others of their own band and, where a partner may be larger, of the next.
 
 Equal sets form one class before anything is joined. In a bucket of equal parts the first RUN classes are compared with
-each other, and every later one with the first. Classes of a longer bucket that are still in different components then
-go through rounds: those outside the bucket's largest component are compared with a few classes of it, new links are
-added, components are made anew, and buckets of one component leave. Each round is linear in the buckets' entries. When
-few pairs are left, or a round has linked nothing, the classes outside the largest component are compared with all of
-their bucket that are in another one: no pair of different components stays uncompared, so nothing is lost. Only a
-bucket of many classes that meet and yet don't link costs more than its size in this last step, in comparisons of
-sketches inside the join; pairs that come out of it passed the bound. Pairs pass the sketches' Hamming bound, then an
-exact count over the sets of both.
+each other, and every later one with the first. Longer buckets in which a good part has linked by then, and others have
+not, go through rounds: classes outside the bucket's largest component are compared with a few classes of it, new links
+are added, components are made anew, and buckets of one component leave. Each round is linear in the buckets' entries.
+When few pairs are left there, or a round has linked nothing, or after ROUNDS of them, the classes outside the largest component of any longer
+bucket are compared with all of it that are in another component: no pair of different components stays uncompared, so
+nothing is lost. Only a bucket of many classes that meet and yet don't link costs more than its size in this last step,
+in comparisons of sketches inside the join; pairs that come out of it passed the bound. Pairs pass the sketches' Hamming
+bound, then an exact count over the sets of both.
 
 Defined cases: null texts and texts without words have an empty set and are linked with nothing; a text of fewer words
 than a shingle is one shingle; a text of any length is one set; rows that repeat an id are rows of their own with that
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from loomline.llm import text as tx
 from loomline.llm.components import components
 from loomline.llm.prefilter import free_name, maybe_among, without
+from loomline.llm.settings import CLEANUP, setting
 from loomline.session import cut, spilled, sweep
 
 WIDTH, NUM, DEN = 5, 4, 5
@@ -44,6 +45,11 @@ RUN = 8
 #: Classes of a bucket's largest component that the others are compared with in a round; rounds go on while more pairs
 #: than this for each entry are left to compare.
 HUBS, FEW = 8, 64
+#: Rounds at most. They change the cost, not the result: every round needs the components anew, which pays where the last
+#: step alone would compare and hand on very many pairs of one crowd.
+ROUNDS = 3
+#: Buckets go through rounds if their largest component is this share of them or more.
+CROWD = 1 / 8
 #: Bits of a sketch for each bit that linked sets may differ in, and at least.
 RATE, LEAST_BITS = 4, 512
 _PAIRS = ((0, 1), (0, 2), (1, 2))
@@ -243,17 +249,17 @@ def _within(x: str, y: str, num: int, den: int) -> Column:
     return (F.abs(F.col(f"{x}.band") - F.col(f"{y}.band")) <= 1) & (apart * (den + num) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (den - num))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_shingles, component_id for each row: components of the links of similarity num/den or more."""
-    nodes, classes = _components(docs, id_col, text_col, width, num, den)
+    nodes, classes = _components(docs, id_col, text_col, width, num, den, rounds)
     out = nodes.select("doc", "n", "cid").join(classes.select("cid", "least"), "cid", "left")
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN, rounds: int = ROUNDS) -> DataFrame:
     """docs with one row of each component: that of the least id (a row without an id only where none has one), then of
     the least hash of id and text. Rows alike in id and text are one row of a component. Texts without words all stay."""
-    nodes, classes = _components(docs, id_col, text_col, width, num, den)
+    nodes, classes = _components(docs, id_col, text_col, width, num, den, rounds)
     key = free_name(docs, "rowkey")
     keyed = docs.withColumn(key, row_key(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")))
     spoken = nodes.where("n > 0").select("k", "cid")
@@ -274,16 +280,20 @@ def row_key(doc: Column, text: Column) -> Column:
     return F.xxhash64(doc, text)
 
 
-def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int, rounds: int) -> tuple[DataFrame, DataFrame]:
     """A row (doc, k, n, cid) for each of docs, and for each class of equal sets (cid) the least id and the first row
     (first: nameless, doc, k) of its component."""
     bands = Bands(num, den)
     doc, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
     base = docs.select(doc.alias("_doc"), row_key(doc, text).alias("_k"), text.alias("_text"))
-    nodes = cut(base.mapInArrow(_classes(width, bands), f"doc long, k long, n long, cid long, {_INFO}"))
-    with spilled(_runs(base, width, bands)) as runs:
-        sweep(docs.sparkSession)
-        links = _links(base, nodes, runs, width, num, den)
+    with setting(docs.sparkSession, CLEANUP, "true"):
+        nodes = cut(base.mapInArrow(_classes(width, bands), f"doc long, k long, n long, cid long, {_INFO}"))
+        with spilled(_runs(base, width, bands)) as runs:
+            links = _links(base, nodes, runs, width, num, den, rounds)
+        return nodes, _named(nodes, links)
+
+
+def _named(nodes: DataFrame, links: DataFrame | None) -> DataFrame:
     first = F.min(F.struct(F.col("doc").isNull().alias("nameless"), "doc", "k")).alias("first")
     classes = nodes.where("n > 0").groupBy("cid").agg(F.min("doc").alias("least"), first)
     if links is not None:  # written tables on both sides: adaptive execution can split a component of very many classes
@@ -291,7 +301,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
         known = cut(classes.join(of, "cid", "left").withColumn("root", F.coalesce("root", "cid")))
         roots = cut(known.groupBy("root").agg(F.min("least").alias("least"), F.min("first").alias("first")))
         classes = known.select("cid", "root").join(roots, "root").select("cid", "least", "first")
-    return nodes, cut(classes)
+    return cut(classes)
 
 
 def _runs(base: DataFrame, width: int, bands: Bands) -> DataFrame:
@@ -303,7 +313,7 @@ def _runs(base: DataFrame, width: int, bands: Bands) -> DataFrame:
     return runs.where("cid != lead OR after IS NOT NULL").drop("after")
 
 
-def _links(base: DataFrame, nodes: DataFrame, runs: DataFrame, width: int, num: int, den: int) -> DataFrame | None:
+def _links(base: DataFrame, nodes: DataFrame, runs: DataFrame, width: int, num: int, den: int, rounds: int) -> DataFrame | None:
     """Verified links (a, b) between classes, enough of them for the components; None if there is no pair to verify. All of it is written when this returns."""
     side = lambda df, name, c: df.select(F.struct("n", "band", "own", "next").alias(name), F.col("cid").alias(c))
 
@@ -320,27 +330,31 @@ def _links(base: DataFrame, nodes: DataFrame, runs: DataFrame, width: int, num:
         return cut(pairs.join(a, "a").join(b, "b").select("a", "b", "ea", "eb").mapInArrow(_verify(num, den), "a long, b long"))
 
     sketched = nodes.where("own IS NOT NULL").dropDuplicates(["cid"])
+
+    def near(pairs: DataFrame) -> DataFrame:
+        """Pairs that pass the Hamming bound."""
+        return pairs.distinct().join(side(sketched, "x", "a"), "a").join(side(sketched, "y", "b"), "b").where(_within("x", "y", num, den)).select("a", "b")
+
     head = runs.where(F.col("rank") <= RUN)
     inside = head.select("key", F.col("cid").alias("a")).join(head.select("key", F.col("cid").alias("b")), "key").where("a < b").select("a", "b")  # RUN classes a key
-    near = inside.union(runs.where(F.col("rank") > RUN).select(F.col("lead").alias("a"), F.col("cid").alias("b"))).distinct()
-    near = cut(near.join(side(sketched, "x", "a"), "a").join(side(sketched, "y", "b"), "b").where(_within("x", "y", num, den)).select("a", "b"))
-    if not near.take(1):
+    close = cut(near(inside.union(runs.where(F.col("rank") > RUN).select(F.col("lead").alias("a"), F.col("cid").alias("b")))))
+    if not close.take(1):
         return None
-    links = verified(near)
+    links = verified(close)
     sweep(base.sparkSession)
     longer = runs.where(F.col("rank") == RUN + 1).select("key").distinct()
     rest = runs.where("cid != lead").join(longer, "key", "left_semi").select("key", "cid").distinct()
     if not (rest := cut(rest)).take(1):
         return links
-    rest = cut(rest.join(sketched.select("cid", F.struct("n", "band", "own", "next").alias("z")), "cid"))
     turn, linked = 0, True
     while True:
-        rest, left, entries = _apart(rest, links)
+        rest = _apart(rest, links)
         sweep(base.sparkSession)
-        if not left:
+        if not rest.take(1):
             return links
-        last = not linked or left <= FEW * entries
-        more = cut(_meet(rest, last, turn, num, den))
+        crowd = rest.where("crowd").agg(F.sum(F.when(F.col("root") != F.col("main"), F.col("n")).cast("double")).alias("pairs"), F.count("*").alias("n")).first()
+        last = turn >= rounds or not linked or (crowd.pairs or 0) <= FEW * crowd.n
+        more = cut(_meet(rest, sketched, None if last else turn, num, den))
         new = verified(more) if more.take(1) else None
         linked = new is not None and bool(new.take(1))
         links = cut(links.union(new)) if linked else links
@@ -349,26 +363,26 @@ def _links(base: DataFrame, nodes: DataFrame, runs: DataFrame, width: int, num:
         turn += 1
 
 
-def _apart(rest: DataFrame, links: DataFrame) -> tuple[DataFrame, int, int]:
-    """Entries (key, cid, z, root, main) of buckets with several components, main being the largest of the bucket, then
-    the pairs of different components that the last step would compare, and the number of entries."""
-    rooted = rest.select("key", "cid", "z").join(components(links).withColumnsRenamed({"node": "cid"}), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+def _apart(rest: DataFrame, links: DataFrame) -> DataFrame:
+    """Entries (key, cid, root, main, n, crowd) of buckets with several components: main is the largest of the bucket, n
+    the bucket's size, and crowd whether main is a good part of it."""
+    rooted = rest.select("key", "cid").join(components(links).withColumnsRenamed({"node": "cid"}), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     rooted = cut(rooted)
     sizes = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
     mains = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("x"), F.sum("n").alias("n")).where("x.n < n")
-    mains = cut(mains.select("key", F.col("x.root").alias("main"), "n", ((F.col("n") - F.col("x.n")) * F.col("n")).alias("pairs")))
-    sums = mains.agg(F.sum(F.col("pairs").cast("double")).alias("pairs"), F.sum("n").alias("n")).first()
-    return cut(rooted.join(mains.select("key", "main"), "key")), int(sums.pairs or 0), int(sums.n or 0)
+    return cut(rooted.join(mains.select("key", F.col("x.root").alias("main"), "n", (F.col("x.n") >= F.col("n") * CROWD).alias("crowd")), "key"))
 
 
-def _meet(rest: DataFrame, every: bool, turn: int, num: int, den: int) -> DataFrame:
+def _meet(rest: DataFrame, sketched: DataFrame, turn: int | None, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of classes of different components that meet in a bucket and pass the Hamming bound: those outside
-    the largest component with HUBS classes of it, or with every class of another component."""
-    out = rest.where("root != main").select("key", F.col("cid").alias("a"), F.col("root").alias("ra"), F.col("z").alias("x"))
-    hubs = rest
-    if not every:
+    the largest component with HUBS classes of it, in crowds (a turn), or with all others, in any bucket (None)."""
+    rest = rest if turn is None else rest.where("crowd")
+    out = rest.where("root != main").select("key", "cid", "root", F.lit(False).alias("in_main"))
+    all_ = rest.withColumn("in_main", F.col("root") == F.col("main"))
+    if turn is not None:
         order = Window.partitionBy("key").orderBy(F.xxhash64("cid", F.lit(turn)), "cid")
-        hubs = rest.where("root = main").withColumn("place", F.row_number().over(order)).where(F.col("place") <= HUBS)
-    hubs = hubs.select("key", F.col("cid").alias("b"), F.col("root").alias("rb"), (F.col("root") == F.col("main")).alias("in_main"), F.col("z").alias("y"))
-    met = out.join(hubs, (out.key == hubs.key) & (F.col("ra") != F.col("rb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _within("x", "y", num, den))
+        all_ = all_.where("in_main").withColumn("place", F.row_number().over(order)).where(F.col("place") <= HUBS)
+    with_sketch = lambda df, a, z: df.join(sketched.select("cid", F.struct("n", "band", "own", "next").alias(z)), "cid").withColumnsRenamed({"cid": a, "root": f"r{a}"})
+    out, all_ = with_sketch(out, "a", "x").drop("in_main"), with_sketch(all_.select("key", "cid", "root", "in_main"), "b", "y")
+    met = out.join(all_, (out.key == all_.key) & (F.col("ra") != F.col("rb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _within("x", "y", num, den))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

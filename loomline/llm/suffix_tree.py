@@ -25,8 +25,6 @@ part, whatever they are called.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -34,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm import text as tx
+from loomline.llm.settings import CLEANUP, setting
 from loomline.session import cut, spilled, sweep
 
 DEPTH, LEAST, DISCOUNT = 3, 2, 0.5
@@ -45,7 +44,6 @@ BLOCK_BYTES = 4 << 20
 BLOCKS = 32
 #: A context of so many occurrences, and of this share of all tokens, has its grams dealt to all buckets.
 HOT, HOT_SHARE = 1 << 17, 1e-4
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A word of this share of a block's tokens is summed apart if it has half of that share of all tokens.
 COMMON_SHARE = 1e-3
 _END = np.uint64(1)
@@ -571,17 +569,6 @@ def _score(size: dict, hot):
     return run
 
 
-@contextmanager
-def _set(spark, key: str, value: str):
-    """The setting has this value for the time of the block."""
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def _with(blocks: DataFrame, answers: DataFrame) -> DataFrame:
     return blocks.join(answers.groupBy("block").agg(F.collect_list("a").alias("known")), "block", "left")
 
@@ -590,7 +577,7 @@ def _placed(blocks: DataFrame, n: int) -> DataFrame:
     """Blocks written once in partitions by block that Spark knows of, so that joins with answers move the answers alone."""
     spark = blocks.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // BLOCKS))
-    with _set(spark, "spark.sql.adaptive.enabled", "false"):  # an adaptive plan doesn't tell its partitioning
+    with setting(spark, "spark.sql.adaptive.enabled", "false"):  # an adaptive plan doesn't tell its partitioning
         return cut(blocks.repartition(parts, "block"))
 
 
@@ -613,7 +600,7 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), held_out.alias("held"))
-    with _set(spark, CLEANUP, "true"):  # shuffle files of a query go when it ends
+    with setting(spark, CLEANUP, "true"):
         with spilled(texts.mapInArrow(_encode, _BLOCK)) as raw:
             size, blocks = _numbered(raw, least, p_min, hot)
         sweep(spark)

@@ -134,6 +134,7 @@ def test_jaccard_rounds_of_a_long_bucket(spark, monkeypatch, hubs, few):
     """A cloud of one text whose copies mostly don't link the first class of their buckets: rounds, or the last step alone."""
     monkeypatch.setattr(sketch_join, "HUBS", hubs)
     monkeypatch.setattr(sketch_join, "FEW", few)
+    monkeypatch.setattr(sketch_join, "CROWD", 0.0 if hubs == 1 else sketch_join.CROWD)
     rng = random.Random(7)
     base = [f"w{i}" for i in range(90)]
     rows = []
