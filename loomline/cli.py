@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomline.operators import calc, jobs
 from loomline.plans import recipes
-from loomline.session import local_session
+from loomline.session import cut, local_session
 from loomline.sources import files, jil, mapping_xml, olap_rest
 
 
@@ -76,7 +76,8 @@ def main(argv: list[str] | None = None) -> int:
     else:
         o = {"url": a.url, "user": a.user, "password_env": a.password_env, "applications": a.applications, "cubes": a.cubes}
         if a.command == "olap-list":
-            _show(olap_rest.read_olap(spark, "cubes", **o).select("app", "cube").orderBy("app", "cube"), 1_000)
+            cubes = cut(olap_rest.read_olap(spark, "cubes", **o).select("app", "cube"))
+            _show(cubes.orderBy("app", "cube"), max(1, cubes.count()))
         else:
             members = olap_rest.member_rows(olap_rest.read_olap(spark, "members", **o))
             edges = calc.all_lineage(members, olap_rest.read_olap(spark, "scripts", **o), olap_rest.read_olap(spark, "rules", **o))

@@ -6,45 +6,52 @@ the frontier and the result go to the shared checkpoint folder, so plans stay sh
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.operators.order import numbered
 from loomline.session import cut
 
-#: Rounds after which a walk stops; a walk of more hops is a sign of bad data.
-MAX_ROUNDS = 2000
+#: Depth at which a hierarchy is taken for one that holds a cycle; it is an error, not an end.
+MAX_DEPTH = 2000
 
 
-def reach(edges: DataFrame, starts: DataFrame, keep: tuple[str, ...] = (), stop: DataFrame | None = None, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def reach(edges: DataFrame, starts: DataFrame, keep: tuple[str, ...] = (), stop: DataFrame | None = None, max_rounds: int | None = None) -> DataFrame:
     """All nodes that starts reach, themselves included, with the least number of hops: keep, start, node, hops.
 
-    edges: keep, src, dst; starts: keep, start; stop: keep, node (walks end there). Cycles are walked once.
+    edges: keep, src, dst; starts: keep, start; stop: keep, node (walks end there). Cycles are walked once. The walk goes
+    on until nothing is new; with max_rounds, a walk of more hops raises an error instead of returning a part.
     """
     keys = [*keep, "start", "node"]
     seen = cut(starts.select(*keep, "start", F.col("start").alias("node")).distinct().withColumn("hops", F.lit(0)))
     frontier, hops = seen, 0
     edges = cut(edges.select(*keep, F.col("src").alias("node"), F.col("dst")).distinct())  # read in every round
     stop = cut(stop.select(*keep, "node").distinct()) if stop is not None else None
-    while hops < max_rounds:
+    while True:
         hops += 1
         open_ = frontier.join(stop, [*keep, "node"], "left_anti") if stop is not None else frontier
         step = open_.join(edges, [*keep, "node"]).select(*keep, "start", F.col("dst").alias("node")).distinct()
         frontier = cut(step.join(seen, keys, "left_anti").withColumn("hops", F.lit(hops)))
         if not frontier.take(1):
             return seen
+        if max_rounds is not None and hops > max_rounds:
+            raise ValueError(f"a walk of more than {max_rounds} hops")
         seen = seen.unionByName(frontier)
         if hops % 4 == 0:
             seen = cut(seen)
-    return seen
 
 
 def closure(edges: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """keep, src, dst: all pairs joined by one edge or more (a node on a cycle reaches itself)."""
+    """keep, src, dst: all pairs joined by one edge or more (a node on a cycle reaches itself).
+
+    The result is as large as all pairs; where starts are known, reach() is the one to call.
+    """
     base = cut(edges.select(*keep, "src", "dst").distinct())
     seen = frontier = base
     step = base.select(*keep, F.col("src").alias("mid"), F.col("dst").alias("far"))
-    for i in range(1, MAX_ROUNDS):
+    for i in itertools.count(1):
         new = frontier.join(step, [*[frontier[k] == step[k] for k in keep], frontier.dst == step.mid]) if keep else frontier.join(step, frontier.dst == step.mid)
         new = new.select(*[frontier[k] for k in keep], frontier.src, F.col("far").alias("dst")).distinct()
         frontier = cut(new.join(seen, [*keep, "src", "dst"], "left_anti"))
@@ -118,6 +125,8 @@ def paths(members: DataFrame, scope: tuple[str, ...] = (), sep: str = ".") -> Da
         depth += 1
         above = now.select(*scope, F.col("name").alias("parent"), F.col("path").alias("prefix"))
         now = cut(members.join(above, [*scope, "parent"]).withColumn("path", F.concat_ws(sep, "prefix", "name")).withColumn("depth", F.lit(depth)).select(*out.columns))
-        if not now.take(1) or depth >= MAX_ROUNDS:
+        if not now.take(1):
             return out
+        if depth >= MAX_DEPTH:
+            raise ValueError(f"members below themselves, or more than {MAX_DEPTH} levels")
         out = out.unionByName(now)

@@ -33,8 +33,8 @@ def _props(custom: dict[str, str] | None, extra):
 
 def scheduler(texts: DataFrame, platform: str = "autosys", env: str = "PROD", custom: dict | None = None, bridge: bool = True, bridge_platform: str = "informatica", bridge_flow: str = "folder", bridge_env: str = "PROD") -> DataFrame:
     """The flow of standalone jobs, a flow a box, all jobs, and the edges of those with upstreams. texts: file, ord, content."""
-    every = jil.parse_jil(texts)
-    last = jobs.with_flow(jil.last_definitions(every), platform, env)
+    every = cut(jil.parse_jil(texts))  # texts are parsed once for all that follows
+    last = cut(jobs.with_flow(jil.last_definitions(every), platform, env))
     boxes = jil.box_members(every).select("box_name").distinct()
     one = texts.sparkSession.range(1)
     wf = scalars.bridged_workflow(F.col("command")) if bridge else F.lit(None).cast("string")
@@ -378,11 +378,12 @@ def _abinitio(spark: SparkSession, config: dict, report) -> DataFrame:
 
 
 def _olap(spark: SparkSession, config: dict, report) -> DataFrame:
+    """max_members_per_dimension: 200 unless set; 0 reads all."""
     ship(spark)
     o = {k: str(v) for k, v in {"url": config["base_url"], "user": config.get("user", ""), "password_env": config.get("password_env", ""), "fixture": config.get("fixture", "")}.items()}
     o |= {k: ",".join(config[k]) for k in ("applications", "cubes") if config.get(k)}
     load = lambda entity, **more: cut(olap_rest.read_olap(spark, entity, **o, **more))
-    members = olap_rest.member_rows(load("members", maxMembers="200"), formulas=config.get("include_formulas", True))
+    members = olap_rest.member_rows(load("members", maxMembers=str(config.get("max_members_per_dimension", 200))), formulas=config.get("include_formulas", True))
     scripts = load("scripts") if config.get("include_calc_scripts", True) else None
     rules = load("rules") if config.get("include_load_rules", True) else None
     opts = _given(config, platform="dataset_platform", env="dataset_env", instance="dataset_platform_instance", flow_platform="dataflow_platform", flow_env="dataflow_env", script_cap="calc_script_max_chars", rule_cap="load_rule_max_chars")

@@ -22,12 +22,16 @@ LOCAL_CHECKPOINT_DIR = "/tmp/checkpoints"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir where it is set, else a local default."""
+    """The folder that all executors share: spark.checkpoint.dir where it is set, else a local default on one machine."""
     sc = spark.sparkContext
     found = sc._jsc.sc().getCheckpointDir()
     if found.isDefined():
         return found.get()
-    place = spark.conf.get("spark.checkpoint.dir", None) or LOCAL_CHECKPOINT_DIR
+    place = spark.conf.get("spark.checkpoint.dir", None)
+    if not place:
+        if not (sc.master.startswith("local") and not sc.master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        place = LOCAL_CHECKPOINT_DIR
     sc.setCheckpointDir(place)
     return place
 

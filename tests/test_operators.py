@@ -1,6 +1,8 @@
 import json
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from loomline.operators import calc, graph, lineage, records
@@ -116,3 +118,12 @@ def test_calc_lineage(spark):
     members = spark.createDataFrame([("a", "c", "D", 0, 0, "p", None, "+", None), ("a", "c", "D", 0, 1, "k", "p", "-", None), ("a", "c", "E", 1, 0, "f", None, "+", "@AVG([k]) + @MIN('zz') + G->q")], "app string, cube string, dim string, dim_ord int, ordinal long, name string, parent string, consolidation string, formula string")
     got = {(r.source_field, r.target_field, r.aggregation, r.transformation_type) for r in calc.all_lineage(members=members).collect()}
     assert got == {("D.k", "D.p", "SUBTRACT", "consolidation"), ("D.k", "E.f", "MIN", "member_formula"), ("E.zz", "E.f", "MIN", "member_formula"), ("G.q", "E.f", "MIN", "member_formula")}
+
+
+def test_walks_are_whole_or_raise(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(6)], "src long, dst long")
+    starts = spark.createDataFrame([(0,)], "start long")
+    assert graph.reach(edges, starts).count() == 7 == graph.reach(edges, starts, max_rounds=6).count()
+    with pytest.raises(ValueError):
+        graph.reach(edges, starts, max_rounds=3)
+    assert graph.closure(edges).count() == 21
