@@ -18,4 +18,4 @@ def query(oracle: str | None = None):
 
 def load() -> None:
     """Import the modules that register queries."""
-    from loomline.plans import queries_artifacts, queries_graph, queries_jobs, queries_pipelines  # noqa: F401
+    from loomline.plans import queries_artifacts, queries_graph, queries_jobs, queries_logs, queries_pipelines  # noqa: F401

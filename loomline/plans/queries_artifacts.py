@@ -38,11 +38,13 @@ def sql_tables_io(spark: SparkSession, sf_dir: str) -> DataFrame:
         for w, o, t, c in [
             ("view", "order_id", "'stg.o' || user_id", "id"), ("view", "cust", "'dbo.c' || (user_id % 7)", "name"), ("view", "amount", "'stg.o' || user_id", "qty"), ("view", "amount", "'stg.o' || user_id", "price"),
             ("click", "a", "'raw.s' || (user_id % 7)", "a"), ("click", "b", "'raw.s' || (user_id % 7)", "d"),
+            ("purchase", "id", "'raw.q' || (user_id % 7)", "id"), ("purchase", "q", "'raw.q' || (user_id % 7)", "q"),
+            ("signup", "id", "'raw.n' || user_id", "id"), ("error", "id", "'gone' || (user_id % 7)", "id"),
         ]
     )
 )
 def sql_column_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sqlscan.sql_columns(fixtures.statements(spark, sf_dir).where("event_type IN ('view', 'click')"), "sql", ["event_id"])
+    rows = sqlscan.sql_columns(fixtures.statements(spark, sf_dir), "sql", ["event_id"])
     return rows.select("event_id", "output_column", "source_table", "source_column")
 
 
@@ -61,27 +63,71 @@ def proc_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-SELECT event_id AS id, CASE event_type WHEN 'view' THEN 'dbo.c' || (user_id % 7) WHEN 'click' THEN 'mart.f' || user_id || ',raw.s' || (user_id % 7) WHEN 'purchase' THEN 'mart.p' || user_id || ',raw.q' || (user_id % 7) || ',SET'
-    WHEN 'signup' THEN 'raw.n' || user_id || ',mart.m' || (user_id % 7) || ',fresh' ELSE 't' || user_id || ',gone' || (user_id % 7) || ',nowhere' END AS tables,
-  event_type = 'purchase' AS looks_written
-FROM events WHERE event_type NOT IN ('click', 'signup') AND ts >= TIMESTAMP '2024-01-10' ORDER BY ts, event_id LIMIT 500
+SELECT event_id AS id, CASE event_type WHEN 'view' THEN 'dbo.c' || (user_id % 7) WHEN 'click' THEN 'mart.f' || user_id || ',s.d,raw.s' || (user_id % 7) WHEN 'purchase' THEN 'mart.p' || user_id || ',raw.q' || (user_id % 7) || ',SET'
+    WHEN 'signup' THEN 'raw.n' || user_id || ',m,mart.m' || (user_id % 7) || ',fresh' ELSE 't' || user_id || ',gone' || (user_id % 7) || ',nowhere' END AS tables,
+  event_type IN ('click', 'purchase', 'signup') AS looks_written
+FROM events WHERE ts >= TIMESTAMP '2024-01-10' ORDER BY ts, event_id LIMIT 2000
 """
 )
 def operational_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fixtures.statements(spark, sf_dir).where("event_type NOT IN ('click', 'signup')")
-    since = observed.poll(rows.withColumnRenamed("event_id", "id"), F.lit("2024-01-10").cast("timestamp_ntz"), 500, "ts", "id")
+    """One poll of all kinds of statements, as many as a poll takes."""
+    rows = fixtures.statements(spark, sf_dir).withColumnRenamed("event_id", "id")
+    since = observed.poll(rows, F.lit("2024-01-10").cast("timestamp_ntz"), observed.MAX_ROWS, "ts", "id")
     return since.select("id", F.array_join(scalars.observed_tables(F.col("sql")), ",").alias("tables"), scalars.written_tables_hint(F.col("sql")).alias("looks_written"))
 
 
+def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as a log of statements, whose schema is the user's remainder; every third statement is listed twice."""
+    rows = fixtures.statements(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    log = rows.select(F.concat(F.lit("q"), F.col("event_id").cast("string")).alias("sql_id"), F.concat(F.lit("S"), (F.col("user_id") % 7).cast("string")).alias("parsing_schema"), F.col("sql").alias("sql_text"), F.col("ts").alias("last_active_time"), (F.col("event_id") % 4).alias("executions"))
+    return log.unionByName(log.where("substring(sql_id, 2) % 3 = 0"))
+
+
 @query(
     """
-SELECT date_trunc('day', ts) AS day, event_type, count(*)::BIGINT AS runs, count(DISTINCT user_id)::BIGINT AS users, max(ts) AS last_ts FROM events GROUP BY 1, 2
+SELECT date_trunc('day', ts) AS day, count(*)::BIGINT AS runs, sum((event_type <> 'view' )::INTEGER)::BIGINT AS writes, sum(event_id % 4)::BIGINT AS executions FROM events GROUP BY 1
 """
 )
 def run_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events")
-    g = e.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("runs"), F.countDistinct("user_id").alias("users"), F.max("ts").alias("last_ts"))
-    return g.select(F.col("w.start").alias("day"), "event_type", "runs", "users", "last_ts")
+    """Runs by day; a statement listed twice is one run."""
+    w = observed.windowed(observed.runs(_observed(spark, sf_dir)), "1 day")
+    return w.select(F.col("start").cast("timestamp_ntz").alias("day"), "runs", "writes", "executions")
+
+
+@query(
+    """
+WITH e AS (SELECT 'S' || (user_id % 7) AS parsing_schema, ts, lag(ts) OVER (PARTITION BY user_id % 7 ORDER BY ts) AS before FROM events),
+g AS (SELECT *, sum(CASE WHEN before IS NULL OR ts >= before + INTERVAL 2 HOURS THEN 1 ELSE 0 END) OVER (PARTITION BY parsing_schema ORDER BY ts) AS n FROM e)
+SELECT parsing_schema, min(ts) AS start, max(ts) + INTERVAL 2 HOURS AS "end", count(*)::BIGINT AS runs FROM g GROUP BY parsing_schema, n
+"""
+)
+def run_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bursts of runs of a schema."""
+    found = observed.sessions(observed.runs(_observed(spark, sf_dir)), "2 hours")
+    return found.select("parsing_schema", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "runs")
+
+
+_TABLES_OF = """CASE event_type WHEN 'view' THEN ['DW.dbo.c' || (user_id % 7)] WHEN 'click' THEN ['DW.mart.f' || user_id, 'DW.s.d', 'DW.raw.s' || (user_id % 7)] WHEN 'purchase' THEN ['DW.mart.p' || user_id, 'DW.raw.q' || (user_id % 7), 'DW.OWN.SET']
+  WHEN 'signup' THEN ['DW.raw.n' || user_id, 'DW.OWN.m', 'DW.mart.m' || (user_id % 7), 'DW.OWN.fresh'] ELSE ['DW.OWN.t' || user_id, 'DW.OWN.gone' || (user_id % 7), 'DW.OWN.nowhere'] END"""
+
+
+@query(
+    f"""
+WITH r AS (
+  SELECT 'oracle_sql:q' || event_id AS run_id, (epoch_us(ts) // 1000)::VARCHAR AS ms, event_type <> 'view' AS w,
+    '["' || array_to_string(list_sort(list_transform({_TABLES_OF}, lambda x: 'urn:li:dataset:(urn:li:dataPlatform:oracle,' || x || ',PROD)')), '","') || '"]' AS urns
+  FROM events
+)
+SELECT 'job' AS job_urn, run_id, 'start' AS kind, '{{"timestampMillis":' || ms || ',"status":"STARTED"}}' AS payload FROM r
+UNION ALL SELECT 'job', run_id, 'inputs', '{{"inputs":' || urns || '}}' FROM r
+UNION ALL SELECT 'job', run_id, 'outputs', '{{"outputs":' || urns || '}}' FROM r WHERE w
+UNION ALL SELECT 'job', run_id, 'end', '{{"timestampMillis":' || ms || ',"status":"COMPLETE","result":"SUCCESS"}}' FROM r
+"""
+)
+def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start, inputs, outputs and end of every run."""
+    runs = observed.runs(_observed(spark, sf_dir), db="DW", schema="OWN")
+    return observed.run_events(runs, F.lit("job")).select("job_urn", "run_id", "kind", "payload")
 
 
 @query(

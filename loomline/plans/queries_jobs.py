@@ -115,13 +115,13 @@ def sql_snippet_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-WITH s AS (SELECT doc_id, string_agg(left(x, 200), chr(10) || chr(10) || '-- ---' || chr(10) || chr(10) ORDER BY i) AS joined
+WITH s AS (SELECT doc_id, string_agg(left(x, 20000), chr(10) || chr(10) || '-- ---' || chr(10) || chr(10) ORDER BY i) AS joined
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) GROUP BY doc_id)
 SELECT doc_id, sha256(joined) AS sha, left(joined, 4000) AS preview FROM s
 """
 )
 def snippet_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sha, preview = scalars.fingerprint(F.split("text", "\n"), 200)
+    sha, preview = scalars.fingerprint(F.split("text", "\n"))
     return read(spark, sf_dir, "documents").where("text is not null").select("doc_id", sha.alias("sha"), preview.alias("preview"))
 
 
