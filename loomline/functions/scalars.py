@@ -81,8 +81,9 @@ def observed_tables(sql: Column) -> Column:
 
 
 def fallback_tables(sql: Column) -> Column:
-    """Distinct names after from, join, into or update in text that can't be parsed; brackets are kept inside."""
-    return F.array_distinct(F.regexp_extract_all(sql, F.lit(r"(?i)\b(from|join|into|update)\s+([\w.\[\]]+)"), 2))
+    """Distinct names after from, join, into or update in text that can't be parsed; outer brackets go, inner ones stay."""
+    found = F.regexp_extract_all(sql, F.lit(r"(?i)\b(from|join|into|update)\s+([\w.\[\]]+)"), 2)
+    return F.array_distinct(F.transform(found, lambda x: F.btrim(x, F.lit("[]"))))
 
 
 def procedure_call(sql: Column) -> Column:

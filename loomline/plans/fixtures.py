@@ -74,6 +74,28 @@ def mapping_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spread(p).select(_text("part_", k, ".xml").alias("file"), body.alias("content"))
 
 
+def workflow_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """file, content: a workflow a customer, whose session runs a mapping that declares its own tables.
+
+    The target gets two columns through a source qualifier with SQL and one directly; every second mapping calls a
+    procedure first.
+    """
+    c = read(spark, sf_dir, "customer")
+    k = _n("c_custkey")
+    call = F.when(F.col("c_custkey") % 2 == 0, _text('<TABLEATTRIBUTE NAME="Pre SQL" VALUE="call own.fill_', k, '(1)"/>')).otherwise("")
+    body = _text(
+        '<POWERMART><REPOSITORY NAME="R"><FOLDER NAME="folder"><MAPPING NAME="m_', k, '"><SOURCE NAME="S_', k, '" OWNERNAME="own"/><TARGET NAME="T_', k, '" OWNERNAME="dw"/>',
+        '<INSTANCE NAME="src" TYPE="source" TRANSFORMATIONNAME="S_', k, '"/><INSTANCE NAME="tgt" TYPE="target" TRANSFORMATIONNAME="T_', k, '"/>',
+        '<INSTANCE NAME="sq" TYPE="TRANSFORMATION" TRANSFORMATIONNAME="sq" TRANSFORMATION_TYPE="source qualifier"/>',
+        '<TRANSFORMATION NAME="sq" TYPE="Source Qualifier"><TRANSFORMFIELD NAME="ID" PORTTYPE="INPUT/OUTPUT"/><TABLEATTRIBUTE NAME="Sql Query" VALUE="select s.ID, s.N', _n("c_nationkey"), " as name from own.S_", k, ' s"/></TRANSFORMATION>',
+        '<CONNECTOR FROMINSTANCE="src" FROMFIELD="ID" TOINSTANCE="sq" TOFIELD="ID"/><CONNECTOR FROMINSTANCE="sq" FROMFIELD="ID" TOINSTANCE="tgt" TOFIELD="ID"/>',
+        '<CONNECTOR FROMINSTANCE="src" FROMFIELD="N', _n("c_nationkey"), '" TOINSTANCE="sq" TOFIELD="NAME"/><CONNECTOR FROMINSTANCE="sq" FROMFIELD="NAME" TOINSTANCE="tgt" TOFIELD="NAME"/>',
+        '<CONNECTOR FROMINSTANCE="src" FROMFIELD="D', _n("c_nationkey"), '" TOINSTANCE="tgt" TOFIELD="D"/>', call, '</MAPPING><SESSION NAME="s_', k, '" MAPPINGNAME="m_', k, '"/>',
+        '<WORKFLOW NAME="wf_', k, '"><TASKINSTANCE NAME="s_', k, '" TASKTYPE="Session"/><TASKINSTANCE NAME="Start" TASKTYPE="Start"/><WORKFLOWLINK FROMTASK="Start" TOTASK="s_', k, '"/></WORKFLOW></FOLDER></REPOSITORY></POWERMART>',
+    )
+    return _spread(c).select(_text("wf_", k, ".xml").alias("file"), body.alias("content"))
+
+
 def package_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """file, content: a package a customer; a container with two tasks, SQL as an attribute and as text."""
     c = read(spark, sf_dir, "customer")

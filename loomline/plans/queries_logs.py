@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.operators import calc, lineage, records
+from loomline.operators import calc, records
 from loomline.plans import fixtures, pipelines
 from loomline.plans.catalogue import query
 from loomline.session import read
@@ -186,3 +186,102 @@ UNION ALL SELECT 'F' || p_size, 's_' || p_partkey, 'M' || p_partkey, 'CONNECTOR'
 def session_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges, _ = pipelines.session_lineage(fixtures.mapping_xml(spark, sf_dir))
     return edges.select("folder", "session", "mapping", "kind", "source_dataset", "source_column", "target_dataset", "target_column", "confidence", "step_order")
+
+
+_SELECTED = "'select s.ID, s.N' || c_nationkey || ' as name from own.S_' || c_custkey || ' s'"
+
+
+@query(
+    f"""
+WITH e AS (
+  SELECT *, 'CONNECTOR' AS kind, 'own.S_' || c_custkey AS source_dataset, unnest(['ID', 'N' || c_nationkey]) AS source_column, unnest(['ID', 'NAME']) AS target_column, NULL AS expression, 1.0::DOUBLE AS confidence, 2 AS step_order, NULL AS "procedure" FROM customer
+  UNION ALL SELECT *, 'DIRECT', 'own.S_' || c_custkey, 'D' || c_nationkey, 'D', NULL, 1.0, 1, NULL FROM customer
+  UNION ALL SELECT *, 'SQL', 'own.S_' || c_custkey, unnest(['ID', 'N' || c_nationkey]), unnest(['ID', 'NAME']), {_SELECTED}, 0.95, 1, NULL FROM customer
+  UNION ALL SELECT *, 'STORED_PROCEDURE', 'own.fill_' || c_custkey, '*', '*', 'call own.fill_' || c_custkey || '(1)', 0.95, 1, 'own.fill_' || c_custkey FROM customer WHERE c_custkey % 2 = 0
+)
+SELECT 'folder' AS folder, 'wf_' || c_custkey AS workflow, 's_' || c_custkey AS session, 'm_' || c_custkey AS mapping, kind, source_dataset, source_column, 'dw.T_' || c_custkey AS target_dataset, target_column, expression, confidence, step_order, "procedure" FROM e
+"""
+)
+def workflow_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four kinds of edges: SQL of a source qualifier, procedure calls, direct ports and ports behind transformations."""
+    return pipelines.session_lineage(fixtures.workflow_xml(spark, sf_dir))[0]
+
+
+_WF = _flow("informatica", "'folder'")
+_S, _TT = _set("oracle", "'own.S_' || c_custkey"), _set("oracle", "'dw.T_' || c_custkey")
+_FILL = _set("oracle", "'own.fill_' || c_custkey")
+
+
+def _scored(ups: list[str], column: str, op: str, confidence: str) -> str:
+    return """{"upstreams":["' || """ + """ || '","' || """.join(ups) + f""" || '"],"downstreams":["' || {_field(_TT, column)} || '"],"transformOperation":"{op}","confidenceScore":{confidence}}}"""
+
+
+_D, _I, _N = _scored([_field(_S, "'D' || c_nationkey")], "'D'", "DIRECT", "1.0"), _scored([_field(_S, "'ID'")], "'ID'", "CONNECTOR,SQL", "0.95"), _scored([_field(_S, "'N' || c_nationkey")], "'NAME'", "CONNECTOR,SQL", "0.95")
+_STAR = _scored([_field(_FILL, "'*'")], "'*'", "STORED_PROCEDURE", "0.95")
+#: Upstreams, and columns by their upstreams, come in the order of the URNs' bytes: capitals first.
+_UP_S, _UP_FILL = ("""{"dataset":"' || """ + x + """ || '","type":"TRANSFORMED"}""" for x in (_S, _FILL))
+
+
+def _job_row(name: str, shown: str, kind: str, props: str = "") -> tuple[str, str, str, str, str]:
+    return _job(_WF, name), "dataJob", "dataJobInfo", f"""'{{"name":"' || {shown} || '","type":"{kind}","flowUrn":"' || {_WF} || '"{props}}}'""", "customer"
+
+
+@query(
+    _log(
+        (_WF, "dataFlow", "dataFlowInfo", """'{"name":"folder","description":"Informatica folder"}'""", "(SELECT 1)"),
+        _job_row("'wf_' || c_custkey", "'wf_' || c_custkey", "INFORMATICA_WORKFLOW"),
+        _job_row("'wf_' || c_custkey || '.s_' || c_custkey", "'s_' || c_custkey", "INFORMATICA_SESSION", ""","customProperties":{"mapping":"m_' || c_custkey || '","position":"2","connections":""}"""),
+        _job_row("'wf_' || c_custkey || '.s_' || c_custkey || '.sq'", "'sq'", "INFORMATICA_SOURCE_QUALIFIER", ""","customProperties":{"level":"1"}"""),
+        (_TT, "dataset", "upstreamLineage", f"""CASE WHEN c_custkey % 2 = 0 THEN '{{"upstreams":[{_UP_S},{_UP_FILL}],"fineGrainedLineages":[{_D},{_I},{_N},{_STAR}]}}' ELSE '{{"upstreams":[{_UP_S}],"fineGrainedLineages":[{_D},{_I},{_N}]}}' END""", "customer"),
+        (_job(_flow("oracle", "'stored_procedures'"), "'own.fill_' || c_custkey"), "dataJob", "dataJobInfo", """'{"name":"own.fill_' || c_custkey || '","type":"STORED_PROCEDURE"}'""", "customer WHERE c_custkey % 2 = 0"),
+        (_FILL, "dataset", "datasetProperties", """'{"name":"own.fill_' || c_custkey || '"}'""", "customer WHERE c_custkey % 2 = 0"),
+    )
+)
+def repository_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pipelines.repository(fixtures.workflow_xml(spark, sf_dir))[0].select(*_ROW)
+
+
+@query(f"SELECT DISTINCT {_job(_WF, chr(39) + 'wf_' + chr(39) + ' || c_custkey')} AS urn, 'informatica' AS emitted_by, 'autosys' AS named_by FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderstatus = 'F'")
+def stitched_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workflows that one source describes and scheduler jobs of another source start."""
+    logs = {"autosys": pipelines.scheduler(fixtures.job_files(spark, sf_dir)), "informatica": pipelines.repository(fixtures.workflow_xml(spark, sf_dir))[0]}
+    return records.stitch(logs).select("urn", F.array_join("emitted_by", ",").alias("emitted_by"), F.array_join("named_by", ",").alias("named_by"))
+
+
+@query(
+    """
+SELECT 'dense' AS selector, 'd' || s_suppkey AS name FROM supplier WHERE s_suppkey % 3 = 0 UNION ALL SELECT 'sparse', 'd' || s_suppkey FROM supplier WHERE s_suppkey % 3 <> 0
+UNION ALL SELECT 'leaf', 'C' || c_custkey FROM customer UNION ALL SELECT 'leaf', 'N' || n_nationkey FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer)
+UNION ALL SELECT 'leaf', r_name FROM region WHERE r_regionkey NOT IN (SELECT n_regionkey FROM nation) UNION ALL SELECT 'leaf', 'P' || p_partkey FROM part
+UNION ALL SELECT 'calculated', 'P' || p_partkey FROM part WHERE p_partkey % 2 = 0
+"""
+)
+def member_selectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    dims = read(spark, sf_dir, "supplier").select(F.concat(F.lit("d"), k.cast("string")).alias("name"), F.when(k % 3 == 0, "Dense").when(k % 3 == 1, "sparse").otherwise("other").alias("dim_type"))
+    members = fixtures.members(spark, sf_dir).withColumn("storage", F.when(F.col("formula").isNotNull(), "dynamic_calc").otherwise("store"))
+    parts = [calc.select_dimensions(dims, x).select(F.lit(x).alias("selector"), "name") for x in ("dense", "sparse")]
+    parts += [calc.select_members(members, x).select(F.lit(x).alias("selector"), "name") for x in ("leaf", "calculated")]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
+@query(
+    """
+SELECT 'S' || s_suppkey AS script, '_uncategorized_' AS dim, 'P' || s_suppkey || ',A' || s_nationkey || ',B' || s_suppkey || ',Market,Q' AS members FROM supplier
+UNION ALL SELECT 'S' || s_suppkey, 'Scenario', 'Plan,N' || s_nationkey FROM supplier
+"""
+)
+def script_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = fixtures.calc_scripts(spark, sf_dir).withColumn("content", F.concat("content", F.lit('"Q" = Scenario->Plan + Scenario->N'), F.regexp_extract("content", r"VAR v = (\d+)", 1), F.lit(" - Scenario->Plan;\n")))
+    return calc.dimension_references(s).select("script", "dim", F.array_join("members", ",").alias("members"))
+
+
+@query("SELECT event_id, CASE WHEN event_type = 'view' THEN 'stg].[o' || user_id || ',dbo.c' || (user_id % 7) ELSE 'mart.t' || user_id || ',x' END AS tables FROM events")
+def fallback_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of texts that no parser reads."""
+    from loomline.functions.scalars import fallback_tables
+
+    e = read(spark, sf_dir, "events")
+    u, v = F.col("user_id").cast("string"), (F.col("user_id") % 7).cast("string")
+    sql = F.when(F.col("event_type") == "view", F.concat(F.lit("?? FROM [stg].[o"), u, F.lit("] ))) Join dbo.c"), v, F.lit(" from [stg].[o"), u, F.lit("]"))).otherwise(F.concat(F.lit("INSERT INTO mart.t"), u, F.lit(" ((( update x"), F.lit(" set")))
+    return e.select("event_id", F.array_join(fallback_tables(sql), ",").alias("tables"))
