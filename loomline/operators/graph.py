@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import itertools
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +17,8 @@ from loomline.session import cut
 
 #: Depth at which a hierarchy is taken for one that holds a cycle; it is an error, not an end.
 MAX_DEPTH = 2000
+#: Largest graph (edges, starts and ends) of a scope that one worker walks.
+PACKED = 5000
 
 
 def reach(edges: DataFrame, starts: DataFrame, keep: tuple[str, ...] = (), stop: DataFrame | None = None, max_rounds: int | None = None) -> DataFrame:
@@ -43,6 +46,56 @@ def reach(edges: DataFrame, starts: DataFrame, keep: tuple[str, ...] = (), stop:
             seen = cut(seen)
 
 
+def _walk(batches):
+    """Breadth-first walks inside packed scopes (see reach_ends)."""
+    for b in batches:
+        take, out = [], []
+        for i, rows in enumerate(b["rows"].to_pylist()):
+            after, starts, ends = {}, [], set()
+            for r in rows:
+                if r["kind"] == 0:
+                    after.setdefault(r["a"], []).append(r["b"])
+                elif r["kind"] == 1:
+                    starts.append(r["a"])
+                else:
+                    ends.add(r["a"])
+            for start in starts:
+                hops, now = {start: 0}, [start]
+                while now:
+                    now = [n for x in now if x not in ends for n in after.get(x, ()) if n not in hops and hops.setdefault(n, hops[x] + 1)]
+                found = [(start, n, h) for n, h in hops.items() if n in ends]
+                out += found
+                take += [i] * len(found)
+        keys = b.select([c for c in b.schema.names if c != "rows"]).take(pa.array(take, pa.int64()))
+        columns = list(zip(*out, strict=True)) or [[]] * 3
+        yield pa.RecordBatch.from_arrays([*keys.columns, pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int32())], [*keys.schema.names, "start", "node", "hops"])
+
+
+def reach_ends(edges: DataFrame, starts: DataFrame, ends: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """What reach() with stop = ends finds at the ends, for many scopes (keep) with graphs of their own; nodes are strings.
+
+    A scope of at most PACKED edges, starts and ends is one row, walked in one worker; larger ones are walked by rounds
+    over all executors. Both give the same rows.
+    """
+    none = F.lit(None).cast("string")
+    e = edges.select(*keep, F.lit(0).alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b"))
+    s = starts.select(*keep, F.lit(1).alias("kind"), F.col("start").alias("a"), none.alias("b"))
+    x = ends.select(*keep, F.lit(2).alias("kind"), F.col("node").alias("a"), none.alias("b"))
+    rows = cut(e.unionByName(s).unionByName(x).distinct())
+    large = cut(rows.groupBy(*keep).count().where(F.col("count") > PACKED).select(*keep))
+    some = bool(large.take(1))
+    small = rows.join(large, [*keep], "left_anti") if some else rows
+    packed = small.groupBy(*keep).agg(F.collect_list(F.struct("kind", "a", "b")).alias("rows"))
+    schema = ", ".join([f"{c} {t}" for c, t in packed.select(*keep).dtypes] + ["start string, node string, hops int"])
+    out = packed.mapInArrow(_walk, schema)
+    if not some:
+        return out
+    rest = rows.join(large, [*keep], "left_semi")
+    far = rest.where("kind = 2").select(*keep, F.col("a").alias("node"))
+    walked = reach(rest.where("kind = 0").select(*keep, F.col("a").alias("src"), F.col("b").alias("dst")), rest.where("kind = 1").select(*keep, F.col("a").alias("start")), keep, far)
+    return out.unionByName(walked.join(far, [*keep, "node"]).select(*keep, "start", "node", "hops"))
+
+
 def closure(edges: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """keep, src, dst: all pairs joined by one edge or more (a node on a cycle reaches itself).
 
@@ -72,20 +125,27 @@ def first_source(reached: DataFrame, sources: DataFrame, keep: tuple[str, ...] =
 def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """node, level: the longest way from a node without predecessors; nodes on or behind a cycle get null.
 
-    Rounds peel off the nodes whose predecessors all have a level (Kahn's order, a whole level at a time).
+    Rounds release the nodes whose predecessors all have a level (Kahn's order, a whole level at a time). A round joins
+    the edges with the nodes just released, and otherwise touches only nodes that wait with some predecessors done.
     """
-    edges = cut(edges.select("src", "dst").distinct())
-    left = cut(nodes.select("node").distinct())
-    done, level = None, 0
+    nodes = cut(nodes.select("node").distinct())
+    known = lambda c: nodes.select(F.col("node").alias(c))
+    edges = cut(edges.select("src", "dst").distinct().join(known("src"), "src", "left_semi").join(known("dst"), "dst", "left_semi"))
+    needs = edges.groupBy(F.col("dst").alias("node")).agg(F.count("*").alias("needs"))
+    needs = cut(needs)
+    frontier = nodes.join(needs, "node", "left_anti")
+    done, waiting, level = frontier.withColumn("level", F.lit(0)), None, 0
     while True:
-        waiting = edges.join(left.select(F.col("node").alias("src")), "src", "left_semi")
-        free = cut(left.join(waiting.select(F.col("dst").alias("node")).distinct(), "node", "left_anti").withColumn("level", F.lit(level)))
-        if not free.take(1):
-            rest = left.withColumn("level", F.lit(None).cast("int"))
-            return rest if done is None else done.unionByName(rest)
-        done = free if done is None else done.unionByName(free)
-        left = cut(left.join(free, "node", "left_anti"))
+        met = frontier.join(edges, frontier.node == edges.src).groupBy(edges.dst.alias("node")).agg(F.count("*").alias("met"))
+        if waiting is not None:
+            met = met.unionByName(waiting).groupBy("node").agg(F.sum("met").alias("met"))
+        met = cut(met.join(needs, "node"))
         level += 1
+        frontier, waiting = met.where("met = needs").select("node"), met.where("met < needs").select("node", "met")
+        if not frontier.take(1):
+            rest = nodes.join(done, "node", "left_anti").withColumn("level", F.lit(None).cast("int"))
+            return done.unionByName(rest)
+        done = done.unionByName(frontier.withColumn("level", F.lit(level)))
 
 
 def topological_order(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -35,9 +35,10 @@ def column_lineage(connectors: DataFrame, ports: DataFrame, sources: DataFrame,
     sources, targets = cut(sources.select("mapping", "instance").distinct()), targets.select("mapping", "instance").distinct()
     fields = ports.select("mapping", "instance", "field").union(connectors.select("mapping", "to_instance", "to_field")).distinct()
     starts = fields.join(targets, ["mapping", "instance"]).select("mapping", node("instance", "field").alias("start"))
-    edges = cut(port_edges(connectors, ports))
-    ends = edges.select("mapping", F.col("dst").alias("node")).union(starts.select("mapping", "start")).distinct().withColumn("instance", F.substring_index("node", "\x1f", 1)).join(sources, ["mapping", "instance"]).select("mapping", "node")
-    reached = graph.reach(edges, starts, ("mapping",), stop=ends).join(ends, ["mapping", "node"])
+    edges = port_edges(connectors, ports)
+    nodes = connectors.select("mapping", F.col("from_instance").alias("instance"), F.col("from_field").alias("field")).union(fields).distinct()
+    ends = nodes.join(sources, ["mapping", "instance"]).select("mapping", node("instance", "field").alias("node"))
+    reached = graph.reach_ends(edges, starts, ends, ("mapping",))
     part = lambda c, i: F.split_part(F.col(c), F.lit("\x1f"), F.lit(i))
     return reached.select("mapping", part("start", 1).alias("target_instance"), part("start", 2).alias("target_field"), part("node", 1).alias("source_instance"), part("node", 2).alias("source_field"), "hops")
 

@@ -127,3 +127,39 @@ def test_walks_are_whole_or_raise(spark):
     with pytest.raises(ValueError):
         graph.reach(edges, starts, max_rounds=3)
     assert graph.closure(edges).count() == 21
+
+
+def test_packed_walks_equal_rounds(spark, monkeypatch):
+    """Scopes small enough for one worker and those walked by rounds give the same rows; cycles and ends in the middle included."""
+    from loomline.operators import graph
+
+    edges = [(g, f"n{i}", f"n{j}") for g in ("a", "b") for i, j in ((1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (5, 6), (1, 6))] + [("c", "n1", "n2")]
+    e = spark.createDataFrame(edges, "g string, src string, dst string")
+    s = spark.createDataFrame([("a", "n1"), ("b", "n2"), ("b", "n4"), ("c", "n2"), ("d", "n9")], "g string, start string")
+    x = spark.createDataFrame([("a", "n4"), ("a", "n6"), ("b", "n4"), ("b", "n3"), ("c", "n2"), ("c", "n1")], "g string, node string")
+    got = []
+    for packed in (5000, 5, 0):  # all, some, none
+        monkeypatch.setattr(graph, "PACKED", packed)
+        got.append(sorted(map(tuple, graph.reach_ends(e, s, x, ("g",)).collect())))
+    assert got[0] == got[1] == got[2] == [("a", "n1", "n4", 3), ("a", "n1", "n6", 1), ("b", "n2", "n3", 1), ("b", "n4", "n4", 0), ("c", "n2", "n2", 0)]
+
+
+def test_levels_of_cycles_loops_and_strangers(spark):
+    from loomline.operators import graph
+
+    nodes = spark.createDataFrame([(i,) for i in range(8)], "node long")
+    edges = spark.createDataFrame([(0, 1), (0, 2), (1, 2), (2, 3), (3, 4), (4, 3), (5, 5), (9, 6), (7, 99)], "src long, dst long")
+    assert {r.node: r.level for r in graph.levels(nodes, edges).collect()} == {0: 0, 1: 1, 2: 2, 3: None, 4: None, 5: None, 6: 0, 7: 0}
+    assert graph.levels(nodes.limit(0), edges).count() == 0
+
+
+def test_stitch(spark):
+    from loomline.operators import records
+
+    job = "urn:li:dataJob:(urn:li:dataFlow:(x,f,PROD),j)"
+    set_ = "urn:li:dataset:(urn:li:dataPlatform:o,a.b,PROD)"
+    make = lambda rows: spark.createDataFrame(rows, "entity_urn string, payload string")
+    one = make([(job, f'{{"upstreams":["urn:li:schemaField:({set_},c)"]}}'), (job, None)])
+    two = make([(set_, "{}"), ("urn:other", f'"{job}"')])
+    got = {r.urn: (r.emitted_by, r.named_by) for r in records.stitch({"one": one, "two": two, "none": make([])}).collect()}
+    assert got == {job: (["one"], ["two"]), set_: (["two"], ["one"])}
