@@ -31,6 +31,9 @@ def _parser() -> argparse.ArgumentParser:
     dump = sub.add_parser("dump-graph", help="boxes and jobs as JSON lines, written by the executors")
     dump.add_argument("paths", nargs="+")
     dump.add_argument("--out", required=True)
+    repo = sub.add_parser("extract-repository", help="lineage of exported folders, written by the executors; prints its summary")
+    repo.add_argument("paths", nargs="+")
+    repo.add_argument("--out", required=True)
     for name, text in (("olap-test", "test the connection"), ("olap-list", "list applications and cubes"), ("olap-extract", "write lineage of cubes as YAML")):
         olap = sub.add_parser(name, help=text)
         olap.add_argument("--url", required=True)
@@ -66,6 +69,9 @@ def main(argv: list[str] | None = None) -> int:
         found = mapping_xml.read_folders(files.read_texts(spark, a.paths))
         tables = mapping_xml.bound_tables(found).groupBy("folder", "mapping").agg(F.array_sort(F.collect_set(F.when(F.col("role") == "source", F.col("name")))).alias("sources"), F.array_sort(F.collect_set(F.when(F.col("role") == "target", F.col("name")))).alias("targets"))
         _show(tables.orderBy("folder", "mapping"), a.limit)
+    elif a.command == "extract-repository":
+        recipe = {"source": {"type": "informatica_repository", "config": {"xml_paths": a.paths}}, "sink": {"type": "json", "config": {"path": a.out}}}
+        print(json.dumps(recipes.run(spark, recipe)[1].summary()))
     elif a.command in ("inspect-jobs", "dump-graph"):
         every = jil.parse_jil(files.read_texts(spark, a.paths))
         boxes, rest = jobs.graph_dump(jil.last_definitions(every), jil.box_members(every))

@@ -16,6 +16,7 @@ from loomline.session import cut, ship
 from loomline.sources import files, jil, mapping_xml, olap_rest, package_xml
 
 SQL_CAP, COMMAND_CAP = 20000, 4000
+EMPTY_LOG = "seq long, workunit_id string, entity_urn string, entity_type string, aspect_name string, payload string"
 
 
 def _map(**entries):
@@ -201,7 +202,7 @@ def workflow_order(texts: DataFrame) -> DataFrame:
 def packages(texts: DataFrame, platform: str = "mssql", env: str = "PROD", instance: str | None = None, default_db: str | None = None, default_schema: str | None = None, flow_platform: str = "ssis", flow_env: str = "PROD", parse_sql: bool = True, sql_cap: int = SQL_CAP, schemas: DataFrame | None = None) -> DataFrame:
     """Packages as flows, tasks as jobs with their SQL, the tables they touch, table lineage and column lineage.
 
-    schemas: table, column; where given, they resolve * and bare columns (they are collected: one package set's tables).
+    schemas: table, column; where given, they resolve * and bare columns.
     """
     tasks = cut(package_xml.read_packages(texts).where("error is null"))
     flow = urns.flow_urn(flow_platform, F.col("package"), flow_env)
@@ -225,10 +226,8 @@ def packages(texts: DataFrame, platform: str = "mssql", env: str = "PROD", insta
     both = io.groupBy(*keys).agg(side("input").alias("ins"), side("output").alias("outs"))
     parts.append(records.job_io(both, F.col("job"), F.col("ins"), F.col("outs"), phase=4, **order))
     flows = both.where((F.size("ins") > 0) & (F.size("outs") > 0))
-    known: dict[str, list[str]] = {}
-    for r in schemas.collect() if schemas is not None else []:
-        known.setdefault(r["table"], []).append(r["column"])
-    cols = sqlscan.sql_columns(sql, "text", [*keys, "n", "text"], default_db, default_schema, known)
+    known = sqlscan.needed_columns(sql, "text", [*keys, "n"], schemas) if schemas is not None else sql
+    cols = sqlscan.sql_columns(known, "text", [*keys, "n", "text"], default_db, default_schema, "known" if schemas is not None else None)
     tables = io.select(*keys, F.col("table").alias("source_table"), F.col("urn").alias("up")).distinct()
     cols = cols.join(tables, [*keys, "source_table"]).join(flows.select(*keys, F.element_at("outs", 1).alias("down")), keys)
     fine = cols.groupBy(*keys, "down", "n", "item", "text", "output_column").agg(F.array_sort(F.collect_set(urns.field_urn(F.col("up"), F.col("source_column")))).alias("ups"))
@@ -377,14 +376,53 @@ def _abinitio(spark: SparkSession, config: dict, report) -> DataFrame:
     return graph_project(spark, graphs, _texts(spark, config, "dml", [".dml"]), _texts(spark, config, "xfr", [".xfr"]), files.read_texts(spark, config.get("io_mapping_paths") or []), **opts, **_given(config, project="project_name", flow_platform="dataflow_platform", flow_env="dataflow_env", emit_schema="emit_schema_from_dml"))
 
 
-def _olap(spark: SparkSession, config: dict, report) -> DataFrame:
-    """max_members_per_dimension: 200 unless set; 0 reads all."""
+def _olap_loader(spark: SparkSession, config: dict):
+    """A function of (entity, options) that reads an entity once, from the server that the settings name."""
     ship(spark)
     o = {k: str(v) for k, v in {"url": config["base_url"], "user": config.get("user", ""), "password_env": config.get("password_env", ""), "fixture": config.get("fixture", "")}.items()}
     o |= {k: ",".join(config[k]) for k in ("applications", "cubes") if config.get(k)}
-    load = lambda entity, **more: cut(olap_rest.read_olap(spark, entity, **o, **more))
+    return lambda entity, **more: cut(olap_rest.read_olap(spark, entity, **(o | more)))
+
+
+def _olap_scripts(load, report, **more: str) -> DataFrame:
+    """The scripts that could be read; the others are counted in the report."""
+    scripts = load("scripts", **more)
+    if failed := scripts.where("error is not null").count():
+        report.warnings.append(f"{failed} calculation scripts could not be read")
+    return scripts.where("error is null")
+
+
+def _olap_lineage(spark: SparkSession, config: dict, report) -> DataFrame:
+    """Lineage of a cube, an application or all of them, by the settings; an application that fails leaves the others be."""
+    load, edges = _olap_loader(spark, config), []
+    for app in config.get("applications") or sorted(r.app for r in load("applications").select("app").collect()):
+        try:
+            members = olap_rest.member_rows(load("members", applications=app))
+            edges.append(cut(calc.all_lineage(members, _olap_scripts(load, report, applications=app), load("rules", applications=app))))
+        except Exception as e:  # one application must not end the run; the report names it
+            report.errors.append(f"{app}: {str(e)[:500]}")
+    if not edges:
+        return spark.createDataFrame([], EMPTY_LOG)
+    return olap_lineage(reduce(DataFrame.unionByName, edges), **_given(config, platform="dataset_platform", env="dataset_env"))
+
+
+def _repository(spark: SparkSession, config: dict, report) -> DataFrame:
+    """The log of exported folders; the report counts their edges and the sessions without a mapping."""
+    ship(spark)
+    opts = _lineage(config)
+    names = {"platform": "platform", "env": "env", "default_db": "db", "default_schema": "schema"}
+    log, found, missing = repository(_texts(spark, config, "xml", [".xml"]), **{names[k]: v for k, v in opts.items() if k in names}, **_given(config, flow_platform="dataflow_platform", flow_env="dataflow_env"))
+    report.details |= found.first().asDict()
+    if gone := missing.count():
+        report.warnings.append(f"{gone} sessions have no mapping in the export")
+    return log
+
+
+def _olap(spark: SparkSession, config: dict, report) -> DataFrame:
+    """max_members_per_dimension: 200 unless set; 0 reads all."""
+    load = _olap_loader(spark, config)
     members = olap_rest.member_rows(load("members", maxMembers=str(config.get("max_members_per_dimension", 200))), formulas=config.get("include_formulas", True))
-    scripts = load("scripts") if config.get("include_calc_scripts", True) else None
+    scripts = _olap_scripts(load, report) if config.get("include_calc_scripts", True) else None
     rules = load("rules") if config.get("include_load_rules", True) else None
     opts = _given(config, platform="dataset_platform", env="dataset_env", instance="dataset_platform_instance", flow_platform="dataflow_platform", flow_env="dataflow_env", script_cap="calc_script_max_chars", rule_cap="load_rule_max_chars")
     return olap(load("cubes"), load("dimensions"), members, scripts, rules, **opts)
@@ -393,7 +431,7 @@ def _olap(spark: SparkSession, config: dict, report) -> DataFrame:
 def _operational(spark: SparkSession, config: dict, report) -> DataFrame:
     """Operational lineage is a stream: as a batch source it emits nothing, and says so."""
     report.warnings.append("operational lineage runs as a streaming query: see loomline.streaming.observed")
-    return spark.createDataFrame([], "seq long, workunit_id string, entity_urn string, entity_type string, aspect_name string, payload string")
+    return spark.createDataFrame([], EMPTY_LOG)
 
 
-SOURCES = {"infa_pmrep": _informatica, "autosys_jil": _autosys, "oracle_operational": _operational, "essbase": _olap, "ssis_dtsx": _ssis, "abinitio": _abinitio}
+SOURCES = {"infa_pmrep": _informatica, "autosys_jil": _autosys, "oracle_operational": _operational, "essbase": _olap, "essbase_lineage": _olap_lineage, "informatica_repository": _repository, "ssis_dtsx": _ssis, "abinitio": _abinitio}

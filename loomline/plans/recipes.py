@@ -36,9 +36,11 @@ class Report:
     by_aspect: dict[str, int] = field(default_factory=dict)
     warnings: list[str] = field(default_factory=list)
     errors: list[str] = field(default_factory=list)
+    details: dict = field(default_factory=dict)
 
     def summary(self) -> dict:
-        return {"workunits": self.workunits, "by_aspect": self.by_aspect, "warnings": self.warnings, "failures": self.errors}
+        out = {"workunits": self.workunits, "by_aspect": self.by_aspect, "warnings": self.warnings, "failures": self.errors}
+        return out | ({"details": self.details} if self.details else {})
 
     def write(self, path: str) -> None:
         Path(path).write_text(json.dumps(self.summary(), indent=2), encoding="utf-8")

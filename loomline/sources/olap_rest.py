@@ -179,7 +179,7 @@ ENTITIES = {
     "cubes": "app string, cube string, detail string, statistics string",
     "dimensions": "app string, cube string, dim string, dim_ord int, detail string",
     "members": "app string, cube string, dim string, dim_ord int, ordinal long, name string, detail string",
-    "scripts": "app string, cube string, script string, content string, detail string",
+    "scripts": "app string, cube string, script string, content string, detail string, error string",
     "rules": "app string, cube string, rule_type string, rule string, detail string",
     "sessions": "detail string",
     "jobs": "detail string",
@@ -228,8 +228,11 @@ class OlapReader(DataSourceReader):
         elif e == "scripts":
             for s in c.scripts(p.app, p.cube):
                 if s.get("name"):
-                    found = c.script(p.app, p.cube, s["name"]) or {}
-                    yield p.app, p.cube, s["name"], found.get("content"), say(found)
+                    try:
+                        found, error = c.script(p.app, p.cube, s["name"]) or {}, None
+                    except OlapError as e:  # one script must not end the read
+                        found, error = {}, str(e)
+                    yield p.app, p.cube, s["name"], found.get("content"), say(found), error
         elif e == "rules":
             for kind in ("data", "dimension"):
                 for r in c.rules(p.app, p.cube, kind):

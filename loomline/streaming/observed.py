@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import closing
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,8 @@ from loomline.functions.urns import dataset_urn, normalise_observed
 from loomline.session import checkpoint_dir
 
 STATEMENT = "sql_id string, parsing_schema string, sql_text string, last_active_time timestamp, executions long"
+#: Fixed value: the view of recent statements, the only query source there is.
+VIEW = "v$sql"
 POLL_S, LOOKBACK_MIN, MAX_ROWS, LATENESS = 60, 180, 2000, "10 minutes"
 
 
@@ -22,8 +25,10 @@ def poll(statements: DataFrame, since: Column, limit: int = MAX_ROWS, time: str
     return statements.where(F.col(time) >= since).orderBy(time, tie).limit(limit)
 
 
-def read_statements(spark: SparkSession, url: str, since: str, limit: int = MAX_ROWS, **options: str) -> DataFrame:
-    """The poll against a database's view of recent statements."""
+def read_statements(spark: SparkSession, url: str, since: str, limit: int = MAX_ROWS, query_sources: tuple[str, ...] = (VIEW,), **options: str) -> DataFrame:
+    """The poll against a database's view of recent statements; nothing where that view is not among the query sources."""
+    if VIEW not in [x.lower() for x in query_sources]:
+        return spark.createDataFrame([], STATEMENT)
     table = "(SELECT sql_id, parsing_schema_name AS parsing_schema, sql_text, last_active_time, executions FROM v$sql) s"
     df = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
     return poll(df, F.lit(since).cast("timestamp"), limit)
@@ -58,8 +63,27 @@ class StatementReader(SimpleDataSourceStreamReader):
         return iter([r for r in self._after(start) if r[3] < until or (r[3] == until and r[0] in ids)])
 
 
+def _time(x) -> datetime:
+    x = datetime.fromisoformat(x) if isinstance(x, str) else x
+    return x if x.tzinfo else x.replace(tzinfo=timezone.utc)
+
+
+def from_database(connect: Callable, table: str = VIEW, schema_column: str = "parsing_schema_name", marker: str = ":1") -> Callable[[datetime, int], list[tuple]]:
+    """A function of (since, limit) that polls a database through its DB-API driver; connect opens a connection."""
+    sql = f"SELECT sql_id, {schema_column}, sql_text, last_active_time, executions FROM {table} WHERE last_active_time >= {marker} ORDER BY last_active_time, sql_id"
+
+    def fetch(since: datetime, limit: int) -> list[tuple]:
+        with closing(connect()) as c, closing(c.cursor()) as cursor:
+            cursor.execute(sql, (since,))
+            return [(*r[:3], _time(r[3]), r[4]) for r in cursor.fetchmany(limit)]
+
+    return fetch
+
+
 class StatementSource(DataSource):
-    """Stream of statements. options: fixture (module:function of (since, limit) -> rows), lookbackMinutes, maxRows."""
+    """Stream of statements. options: connect (module:function that opens a DB-API connection; with table, schemaColumn
+    and marker, the driver's form of a bind variable) or fixture (module:function of (since, limit) -> rows);
+    lookbackMinutes, maxRows."""
 
     @classmethod
     def name(cls) -> str:
@@ -71,10 +95,14 @@ class StatementSource(DataSource):
     def simpleStreamReader(self, schema) -> StatementReader:
         import importlib
 
-        module, function = self.options["fixture"].split(":")
+        o = {k.lower(): v for k, v in dict(self.options).items()}
+        module, function = o["connect" if "connect" in o else "fixture"].split(":")
+        fetch = getattr(importlib.import_module(module), function)
+        if "connect" in o:
+            fetch = from_database(fetch, o.get("table", VIEW), o.get("schemacolumn", "parsing_schema_name"), o.get("marker", ":1"))
         back = timedelta(minutes=float(self.options.get("lookbackminutes", self.options.get("lookbackMinutes", str(LOOKBACK_MIN)))))
         limit = int(self.options.get("maxrows", self.options.get("maxRows", str(MAX_ROWS))))
-        return StatementReader(getattr(importlib.import_module(module), function), datetime.now(timezone.utc) - back, limit)
+        return StatementReader(fetch, datetime.now(timezone.utc) - back, limit)
 
 
 def runs(statements: DataFrame, platform: str = "oracle", env: str = "PROD", instance: str | None = None, db: str | None = None, schema: str | None = None, lateness: str | None = LATENESS) -> DataFrame:

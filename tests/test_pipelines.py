@@ -150,3 +150,72 @@ def test_rest_sink_batches():
     assert [len(s) for s in sent] == [2, 2, 1]
     with pytest.raises(recipes.RecipeError):
         recipes.post_rows("http://x", 2, {}, [Row(n=1)], lambda *a: (500, b"no"))
+
+
+def test_statements_from_a_database(tmp_path, monkeypatch):
+    """A poll through a DB-API driver pages by cursor and loses nothing."""
+    import sqlite3
+
+    sqlite3.register_adapter(datetime, lambda d: d.isoformat())
+    file = tmp_path / "s.db"
+    with sqlite3.connect(file) as c:
+        c.execute("create table seen (sql_id, owner, sql_text, last_active_time, executions)")
+        c.executemany("insert into seen values (?, 's', 'select 1 from t', ?, 1)", [(x, datetime(2024, 1, 1, 0, m, tzinfo=timezone.utc)) for x, m in (("a", 1), ("b", 1), ("c", 1), ("d", 2))])
+    r = observed.StatementReader(observed.from_database(lambda: sqlite3.connect(file), "seen", "owner", "?"), datetime(2023, 1, 1, tzinfo=timezone.utc), 2)
+    offset, got = r.initialOffset(), []
+    for _ in range(4):
+        rows, offset = r.read(offset)
+        got += [x[0] for x in rows]
+    assert got == ["a", "b", "c", "d"]
+
+
+def test_query_sources(spark):
+    assert observed.read_statements(spark, "jdbc:none", "2024-01-01", query_sources=("audit",)).count() == 0
+
+
+def test_packages_with_schemas(spark):
+    sql = ["INSERT INTO f SELECT * FROM dbo.o", "INSERT INTO f SELECT a, k FROM dbo.o JOIN dbo.p ON o.i = p.i"]
+    tasks = "".join(f'<DTS:Executable DTS:ObjectName="T{i}" DTS:ExecutableType="A.Sql"><DTS:ObjectData><q SqlStatementSource="{s}"/></DTS:ObjectData></DTS:Executable>' for i, s in enumerate(sql))
+    x = f'<DTS:Executable xmlns:DTS="www.microsoft.com/SqlServer/Dts" DTS:ObjectName="P"><DTS:Executables>{tasks}</DTS:Executables></DTS:Executable>'
+    schemas = spark.createDataFrame([("dw.dbo.o", "a"), ("dw.dbo.o", "b"), ("dw.dbo.p", "k"), ("dw.dbo.other", "a")], "table string, column string")
+    log = pipelines.packages(spark.createDataFrame([("/p/a.dtsx", x)], "file string, content string"), schemas=schemas)
+    got = {}
+    for r in log.where("aspect_name = 'upstreamLineage'").orderBy("seq").collect():
+        for f in json.loads(r.payload)["fineGrainedLineages"]:
+            got.setdefault(r.seq, []).append((f["upstreams"][0].split(",")[-1][:-1], f["upstreams"][0].split(",")[1], f["downstreams"][0].split(",")[-1][:-1]))
+    assert list(got.values()) == [[("a", "dbo.o", "a"), ("b", "dbo.o", "b")], [("a", "dbo.o", "a"), ("k", "dbo.p", "k")]]
+
+
+def broken_server(method, url, headers, body, timeout):
+    """The fake server with a second application that is down and a second script that can't be read."""
+    from test_sources import fake_server
+
+    path = url.split("/rest/v1", 1)[1]
+    if path == "/applications":
+        return 200, b'{"items": [{"name": "A"}, {"name": "B"}]}'
+    if path.startswith("/applications/B/") or path.endswith("/scripts/bad"):
+        return 500, b""
+    if path.endswith("/scripts"):
+        return 200, b'{"items": [{"name": "S"}, {"name": "bad"}]}'
+    return fake_server(method, url, headers, body, timeout)
+
+
+def test_olap_lineage_goes_on_without_what_fails(spark):
+    config = {"base_url": "http://x", "fixture": "test_pipelines:broken_server"}
+    log, report = recipes.run(spark, {"source": {"type": "essbase_lineage", "config": config}}, dry_run=True)
+    assert report.by_aspect == {"upstreamLineage": 1}
+    assert [e.split(":")[0] for e in report.errors] == ["B"] and report.warnings == ["1 calculation scripts could not be read"]
+    _, report = recipes.run(spark, {"source": {"type": "essbase", "config": config | {"applications": ["A"]}}}, dry_run=True)
+    assert report.by_aspect["dataJobInfo"] == 3 and len(report.warnings) == 1
+
+
+def test_repository_recipe(spark, tmp_path, capsys):
+    from loomline import cli
+    from loomline.plans import fixtures
+
+    x = fixtures.workflow_xml(spark, "/root/testdata/sf0.001").orderBy("file").first().content
+    (tmp_path / "w.xml").write_text(x.replace("</WORKFLOW>", '</WORKFLOW><SESSION NAME="lost" MAPPINGNAME="gone"/>'))
+    assert cli.main(["extract-repository", str(tmp_path / "w.xml"), "--out", str(tmp_path / "out")]) == 0
+    said = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert said["details"]["total_edges"] == 6 and said["warnings"] == ["1 sessions have no mapping in the export"]
+    assert spark.read.json(str(tmp_path / "out")).count() == said["workunits"]
