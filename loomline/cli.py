@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomline.operators import calc, jobs
 from loomline.plans import recipes
-from loomline.session import cut, local_session
+from loomline.session import cut, session
 from loomline.sources import files, jil, mapping_xml, olap_rest
 
 
@@ -58,7 +58,7 @@ def main(argv: list[str] | None = None) -> int:
         ok = olap_rest.Client(a.url, a.user, os.environ.get(a.password_env, "")).test()
         print("ok" if ok else "no connection")
         return int(not ok)
-    spark = local_session()
+    spark = session()
     if a.command == "ingest":
         log, report = recipes.run_file(spark, a.config, dry_run=a.dry_run, preview=a.preview, report_to=a.report_to)
         if a.preview:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loomline.functions import scalars, sqlscan, urns
 from loomline.operators import calc, graph, jobs, lineage, records
-from loomline.session import cut, ship
+from loomline.session import cut, shared_file, ship
 from loomline.sources import files, jil, mapping_xml, olap_rest, package_xml
 
 SQL_CAP, COMMAND_CAP = 20000, 4000
@@ -360,7 +360,7 @@ def _informatica(spark: SparkSession, config: dict, report) -> DataFrame:
     path = f"{export.get('out_dir', '.')}/{folder}.xml"
     FolderExport(folder=folder, output=path, overwrite=export.get("overwrite", False), **pmrep).run()
     common = opts.get("lineage") or {}
-    return mapping_export(files.read_texts(spark, [path]), folder=folder, **_lineage(config), **_given(common, ignore="ignore_table_patterns", custom="custom_properties"), **_given(opts, infer="infer_from_mapping_ports", attach="attach_transformation_text", sql_cap="max_sql_snippet_chars"), **_given(config, flow_platform="dataflow_platform", flow_env="dataflow_env"), **_given(export, workflows="include_workflows", mappings="include_mappings"))
+    return mapping_export(files.read_texts(spark, [shared_file(spark, path)]), folder=folder, **_lineage(config), **_given(common, ignore="ignore_table_patterns", custom="custom_properties"), **_given(opts, infer="infer_from_mapping_ports", attach="attach_transformation_text", sql_cap="max_sql_snippet_chars"), **_given(config, flow_platform="dataflow_platform", flow_env="dataflow_env"), **_given(export, workflows="include_workflows", mappings="include_mappings"))
 
 
 def _ssis(spark: SparkSession, config: dict, report) -> DataFrame:

@@ -126,11 +126,18 @@ def run_task(spark: SparkSession, recipe_path: str | None = None, recipe: dict |
 
 
 def to_yaml(df: DataFrame, path: str | None = None) -> str:
-    """A small result as YAML (the driver holds it)."""
-    text = yaml.safe_dump([json.loads(x) for x in (r[0] for r in df.select(F.to_json(F.struct("*"))).collect())], sort_keys=False, allow_unicode=True)
-    if path:
-        Path(path).write_text(text, encoding="utf-8")
-    return text
+    """A result as a YAML list: into a file, row by row (the driver holds a partition at a time), or returned as text."""
+    rows = df.select(F.to_json(F.struct("*")).alias("x")).toLocalIterator()
+    parts = (yaml.safe_dump([json.loads(r.x)], sort_keys=False, allow_unicode=True) for r in rows)
+    if not path:
+        return "".join(parts) or "[]\n"
+    n = 0
+    with open(path, "w", encoding="utf-8") as f:
+        for n, part in enumerate(parts, 1):
+            f.write(part)
+        if not n:
+            f.write("[]\n")
+    return ""
 
 
 def from_yaml(spark: SparkSession, text: str, schema: str) -> DataFrame:

@@ -91,6 +91,25 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def shared_file(spark: SparkSession, path: str) -> str:
+    """A driver's file where all executors see it: itself on one machine, else a copy in the shared folder."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
+        return path
+    place = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}/{Path(path).name}"
+    made = spark._jvm.org.apache.hadoop.fs.Path
+    target = made(place)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).copyFromLocalFile(made(path), target)
+    return place
+
+
+def session() -> SparkSession:
+    """The session of spark-submit or of the caller; a local one where there is neither."""
+    if SparkSession.getActiveSession() or "PYSPARK_GATEWAY_PORT" in os.environ:
+        return SparkSession.builder.getOrCreate()
+    return local_session()
+
+
 def local_session(cpus: int = 8, partitions: int = 8, **conf: str) -> SparkSession:
     """A session for tests and the bench."""
     b = (

@@ -71,7 +71,9 @@ def test_olap(spark):
 
 def test_yaml_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, ["a"], {"k": "v"})], "n long, xs array<string>, m map<string,string>")
-    text = recipes.to_yaml(df, str(tmp_path / "x.yml"))
+    recipes.to_yaml(df, str(tmp_path / "x.yml"))
+    text = recipes.to_yaml(df)
+    assert text == (tmp_path / "x.yml").read_text() and recipes.to_yaml(df.limit(0)) == "[]\n"
     back = recipes.from_yaml(spark, (tmp_path / "x.yml").read_text(), df.schema.simpleString().removeprefix("struct<").removesuffix(">").replace("n:", "n ", 1).replace("xs:", "xs ", 1).replace(",m:", ",m ", 1))
     assert back.collect() == df.collect() and "xs" in text
 

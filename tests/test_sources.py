@@ -142,3 +142,16 @@ def test_rest_source(spark):
     assert [(r.name, r.parent, r.consolidation, r.formula) for r in m.orderBy("ordinal").collect()] == [("m0", None, "-", None), ("m1", "m0", "-", None), ("m2", "m0", "-", '"m0"')]
     assert olap_rest.cube_statistics(olap_rest.read_olap(spark, "cubes", **o)).first().number_of_blocks == 7
     assert olap_rest.read_olap(spark, "members", cubes="other", **o).count() == 0
+
+
+def test_paths_with_a_scheme(spark, tmp_path, monkeypatch):
+    """Folders with a scheme are listed by Spark's file systems; long lists of paths are joined by hash."""
+    for n in ("b.dml", "sub/a.dml", "c.txt"):
+        (tmp_path / n).parent.mkdir(exist_ok=True)
+        (tmp_path / n).write_text(n)
+    paths = files.expand_paths(None, [f"file://{tmp_path}", f"file://{tmp_path}/none"], [".dml"])
+    assert [p.rsplit("/", 1)[-1] for p in paths] == ["b.dml", "a.dml"]
+    want = [(0, "b.dml"), (1, "sub/a.dml")]
+    assert sorted((r.ord, r.content) for r in files.read_texts(spark, paths).collect()) == want
+    monkeypatch.setattr(files, "BROADCAST_PATHS", 1)
+    assert sorted((r.ord, r.content) for r in files.read_texts(spark, paths).collect()) == want
