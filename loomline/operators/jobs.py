@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.functions.scalars import bridged_workflow, upstream_jobs, upstream_jobs_raw
@@ -45,3 +45,18 @@ def as_json(boxes: DataFrame, jobs: DataFrame) -> DataFrame:
     """One JSON document a row, kind first: files of them can be read back without a driver."""
     a = boxes.select(F.lit("box").alias("kind"), F.col("box").alias("key"), F.to_json(F.struct("jobs")).alias("value"))
     return a.unionByName(jobs.select(F.lit("job").alias("kind"), F.col("name").alias("key"), F.to_json(F.struct("type", "box", "upstreams", "command")).alias("value")))
+
+
+def run_hierarchy(runs: DataFrame, jobs: DataFrame) -> DataFrame:
+    """run_id, name, box_name, parent_run: the box's run that a job's run belongs to, the last one started before it or with it.
+
+    runs: run_id, name, started (of jobs and of boxes alike); jobs: name, box_name. A run whose box has not run yet has
+    no parent; of box runs started at once the greatest run_id counts. One pass over each box's runs in order of time.
+    """
+    mine = jobs.where("box_name is not null").select("name", "box_name").distinct()
+    child = runs.join(mine, "name").select("box_name", "started", F.lit(1).alias("kind"), "run_id", "name")
+    boxes = mine.select(F.col("box_name").alias("name")).distinct()
+    parent = runs.join(boxes, "name").select(F.col("name").alias("box_name"), "started", F.lit(0).alias("kind"), "run_id", F.lit(None).cast("string").alias("name"))
+    order = Window.partitionBy("box_name").orderBy("started", "kind", "run_id").rowsBetween(Window.unboundedPreceding, 0)
+    both = child.unionByName(parent).withColumn("parent_run", F.last(F.when(F.col("kind") == 0, F.col("run_id")), ignorenulls=True).over(order))
+    return both.where("kind = 1").select("run_id", "name", "box_name", "parent_run")

@@ -107,6 +107,19 @@ def run_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("parsing_schema", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "runs")
 
 
+@query(
+    """
+WITH c AS (SELECT 'q' || (user_id % 11) AS sql_id, ts, event_id, (event_id % 50) AS executions FROM events),
+l AS (SELECT *, coalesce(lag(executions) OVER (PARTITION BY sql_id ORDER BY ts, executions), 0) AS before FROM c)
+SELECT sql_id, ts, executions, CASE WHEN executions < before THEN executions ELSE executions - before END AS added FROM l
+"""
+)
+def execution_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Growth of statements' counters, which fall every fifty events."""
+    e = read(spark, sf_dir, "events").select(F.concat(F.lit("q"), (F.col("user_id") % 11).cast("string")).alias("sql_id"), F.col("ts").alias("last_active_time"), (F.col("event_id") % 50).alias("executions"))
+    return observed.execution_deltas(e).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 _TABLES_OF = """CASE event_type WHEN 'view' THEN ['DW.dbo.c' || (user_id % 7)] WHEN 'click' THEN ['DW.mart.f' || user_id, 'DW.s.d', 'DW.raw.s' || (user_id % 7)] WHEN 'purchase' THEN ['DW.mart.p' || user_id, 'DW.raw.q' || (user_id % 7), 'DW.OWN.SET']
   WHEN 'signup' THEN ['DW.raw.n' || user_id, 'DW.OWN.m', 'DW.mart.m' || (user_id % 7), 'DW.OWN.fresh'] ELSE ['DW.OWN.t' || user_id, 'DW.OWN.gone' || (user_id % 7), 'DW.OWN.nowhere'] END"""
 

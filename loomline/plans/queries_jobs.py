@@ -78,6 +78,22 @@ def autosys_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.bridges(jil.parse_jil(fixtures.job_files(spark, sf_dir)))
 
 
+@query(
+    """
+WITH b AS (SELECT o_custkey AS c, o_orderdate AS at, max(o_orderkey) AS run FROM orders WHERE o_orderkey % 4 = 0 GROUP BY 1, 2)
+SELECT 'r' || o_orderkey AS run_id, 'J' || o_orderkey AS name, 'BOX_' || o_custkey AS box_name, 'r' || lpad(b.run::VARCHAR, 12, '0') AS parent_run
+FROM (SELECT * FROM orders WHERE o_orderkey % 7 <> 0) o ASOF LEFT JOIN b ON o.o_custkey = b.c AND o.o_orderdate >= b.at
+"""
+)
+def job_run_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run a job on its order's date; every fourth order is a run of the customer's box, too."""
+    o = read(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string")
+    runs = o.select(F.concat(F.lit("r"), key).alias("run_id"), F.concat(F.lit("J"), key).alias("name"), F.col("o_orderdate").alias("started"))
+    boxes = o.where("o_orderkey % 4 = 0").select(F.concat(F.lit("r"), F.lpad(key, 12, "0")), F.concat(F.lit("BOX_"), F.col("o_custkey").cast("string")), "o_orderdate")
+    return J.run_hierarchy(runs.union(boxes), jil.parse_jil(fixtures.job_files(spark, sf_dir)))
+
+
 @query(
     """
 WITH t AS (SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 't' || s_suppkey WHEN 1 THEN 'sch.t' || s_suppkey ELSE 'd.sch.t' || s_suppkey END AS t, s_suppkey % 3 AS k FROM supplier)

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from contextlib import closing
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
@@ -136,6 +136,32 @@ def run_events(runs_: DataFrame, job: Column) -> DataFrame:
     return runs_.select(job.alias("job_urn"), "run_id", "ts", F.explode(kinds).alias("x")).select("job_urn", "run_id", "ts", "x.o", "x.kind", "x.payload")
 
 
+def _added(key, chunks, state):
+    """Rows of one statement of a micro-batch in order of time, against the counter kept from the batches before."""
+    import pandas as pd
+
+    rows = pd.concat(list(chunks)).sort_values(["ts", "executions"], kind="stable")
+    last, added = state.get[0] if state.exists else 0, []
+    for n in rows["executions"]:
+        added.append(n - last if n >= last else n)
+        last = n
+    state.update((int(last),))
+    yield rows.assign(added=added)[["sql_id", "ts", "executions", "added"]]
+
+
+def execution_deltas(statements: DataFrame) -> DataFrame:
+    """sql_id, ts, executions, added: what a statement's running counter grew by since it was seen last.
+
+    A counter that falls has been reset, and counts from nothing. Batches use a window; streams keep the last counter of
+    each statement as state, and give the same rows as long as batches arrive in order. Rows without a counter are left out.
+    """
+    s = statements.select("sql_id", F.col("last_active_time").cast("timestamp").alias("ts"), "executions").where("executions is not null")
+    if s.isStreaming:
+        return s.groupBy("sql_id").applyInPandasWithState(_added, "sql_id string, ts timestamp, executions long, added long", "last long", "append", "NoTimeout")
+    before = F.coalesce(F.lag("executions").over(Window.partitionBy("sql_id").orderBy("ts", "executions")), F.lit(0))
+    return s.withColumn("added", F.when(F.col("executions") >= before, F.col("executions") - before).otherwise(F.col("executions")))
+
+
 def windowed(runs_: DataFrame, every: str = "1 hour", slide: str | None = None) -> DataFrame:
     """Runs, writes and executions by event-time window."""
     w = F.window("ts", every, slide) if slide else F.window("ts", every)

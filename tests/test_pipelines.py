@@ -221,3 +221,17 @@ def test_repository_recipe(spark, tmp_path, capsys):
     said = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert said["details"]["total_edges"] == 6 and said["warnings"] == ["1 sessions have no mapping in the export"]
     assert spark.read.json(str(tmp_path / "out")).count() == said["workunits"]
+
+
+def test_deltas_of_a_stream_equal_those_of_a_batch(spark, tmp_path):
+    schema = "sql_id string, last_active_time timestamp, executions long"
+    at = lambda m: datetime(2024, 1, 1, 0, m)
+    batches = [[("a", at(2), 7), ("a", at(1), 3), ("b", at(1), 1), ("b", at(1), None)], [("a", at(3), 2), ("b", at(2), 1)], [("c", at(5), 9), ("a", at(4), 6)]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        q = observed.execution_deltas(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
+        write = lambda b, n: b.write.mode("append").parquet(str(tmp_path / "out"))
+        q.writeStream.foreachBatch(write).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()))
+    want = sorted(map(tuple, observed.execution_deltas(spark.read.schema(schema).parquet(str(tmp_path / "in"))).collect()))
+    assert got == want and [r[3] for r in got] == [3, 4, 2, 4, 1, 0, 9]
