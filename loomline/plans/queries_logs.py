@@ -285,3 +285,42 @@ def fallback_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     u, v = F.col("user_id").cast("string"), (F.col("user_id") % 7).cast("string")
     sql = F.when(F.col("event_type") == "view", F.concat(F.lit("?? FROM [stg].[o"), u, F.lit("] ))) Join dbo.c"), v, F.lit(" from [stg].[o"), u, F.lit("]"))).otherwise(F.concat(F.lit("INSERT INTO mart.t"), u, F.lit(" ((( update x"), F.lit(" set")))
     return e.select("event_id", F.array_join(fallback_tables(sql), ",").alias("tables"))
+
+
+_APP, _CUBE = "'A' || n_regionkey", "'c' || n_nationkey"
+_OFLOW = _flow("essbase", _APP)
+_NAME = f"{_APP} || '.' || {_CUBE}"
+_OSET = _set("essbase", _NAME)
+_OPROPS = f"""{{"essbase_application":"' || {_APP} || '","essbase_cube":"' || {_CUBE} || '","dimension_count":"' || (1 + n_nationkey % 2) || '","number_of_blocks":"' || n_nationkey || '","block_density":"0.5"}}"""
+_SCRIPT = _job(_OFLOW, f"{_CUBE} || '::S' || s_suppkey")
+
+
+@query(
+    f"""WITH m AS (SELECT c_nationkey, c_custkey FROM customer QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) <= 200),
+f AS (
+  SELECT c_nationkey AS k, 'D0.C' || c_custkey AS path, 'member' AS native FROM m UNION ALL SELECT c_nationkey, 'D0', 'dimension(' || count(*) || ')' FROM m GROUP BY 1
+  UNION ALL SELECT DISTINCT c_nationkey, '__measures__', 'double' FROM m
+), s AS (SELECT k, string_agg('{{"fieldPath":"' || path || '","type":"' || (CASE WHEN native = 'double' THEN 'NUMBER' ELSE 'STRING' END) || '","nativeDataType":"' || native || '"}}', ',' ORDER BY path) AS fields FROM f GROUP BY k),
+x AS (SELECT * FROM supplier JOIN nation ON n_nationkey = s_nationkey) """
+    + _log(
+        (_OFLOW, "dataFlow", "dataFlowInfo", f"""'{{"name":"' || {_APP} || '","description":"Essbase application"}}'""", "(SELECT DISTINCT n_regionkey FROM nation)"),
+        (_OSET, "dataset", "datasetProperties", f"""'{{"name":"' || {_NAME} || '","customProperties":{_OPROPS}}}'""", "nation"),
+        (_OSET, "dataset", "schemaMetadata", f"""'{{"schemaName":"' || {_NAME} || '_schema","platform":"urn:li:dataPlatform:essbase","version":0,"hash":"","fields":[' || fields || ']}}'""", "nation JOIN s ON k = n_nationkey"),
+        (_job(_OFLOW, _CUBE), "dataJob", "dataJobInfo", f"""'{{"name":"' || {_CUBE} || '","type":"ESSBASE_CUBE","flowUrn":"' || {_OFLOW} || '","customProperties":{_OPROPS}}}'""", "nation"),
+        (_job(_OFLOW, _CUBE), "dataJob", "dataJobInputOutput", _io(None, _OSET), "nation"),
+        (_SCRIPT, "dataJob", "dataJobInfo", f"""'{{"name":"S' || s_suppkey || '","type":"ESSBASE_CALC_SCRIPT","flowUrn":"' || {_OFLOW} || '","customProperties":{{"essbase_application":"' || {_APP} || '","essbase_cube":"' || {_CUBE} || '","calc_script_name":"S' || s_suppkey || '","calc_script_content":"CALC DIM(D' || s_suppkey || ');"}}}}'""", "x"),
+        (_SCRIPT, "dataJob", "dataJobInputOutput", _io(_OSET, _OSET), "x"),
+    )
+)
+def cube_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cube a nation in its region's application, with the nation's customers as members and its suppliers' scripts."""
+    n = read(spark, sf_dir, "nation")
+    text = lambda x, c: F.concat(F.lit(x), F.col(c).cast("string"))
+    place = n.select("n_nationkey", text("A", "n_regionkey").alias("app"), text("c", "n_nationkey").alias("cube"))
+    cubes = place.select("app", "cube", F.to_json(F.struct(F.col("n_nationkey").alias("numberOfBlocks"), F.lit(0.5).alias("blockDensity"))).alias("statistics"))
+    dims = place.select("app", "cube", F.explode(F.sequence(F.lit(0), F.col("n_nationkey") % 2)).alias("dim_ord"))
+    members = read(spark, sf_dir, "customer").join(place, F.col("c_nationkey") == F.col("n_nationkey"))
+    members = members.select("app", "cube", F.lit("D0").alias("dim"), F.lit(0).alias("dim_ord"), F.col("c_custkey").alias("ordinal"), text("C", "c_custkey").alias("name"), F.lit(None).cast("string").alias("parent"), F.lit(0).alias("level"))
+    scripts = read(spark, sf_dir, "supplier").join(place, F.col("s_nationkey") == F.col("n_nationkey"))
+    scripts = scripts.select("app", "cube", text("S", "s_suppkey").alias("script"), F.concat(text("CALC DIM(D", "s_suppkey"), F.lit(");")).alias("content"))
+    return pipelines.olap(cubes, dims, members, scripts).select(*_ROW)
