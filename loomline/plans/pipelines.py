@@ -113,14 +113,14 @@ def mapping_export(texts: DataFrame, platform: str = "oracle", env: str = "PROD"
     return records.emit(parts, "infa")
 
 
-def session_lineage(texts: DataFrame, platform: str = "oracle", env: str = "PROD", db: str | None = None, schema: str | None = None) -> tuple[DataFrame, DataFrame]:
+def session_lineage(texts: DataFrame, platform: str = "oracle", env: str = "PROD", db: str | None = None, schema: str | None = None, found: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Edges of workflows' sessions by transformation kind, with order and procedures; and sessions whose mapping is missing.
 
     Edges: folder, workflow, session, mapping, kind, source_dataset, source_column, target_dataset, target_column,
     expression, confidence, step_order, procedure. Four branches: source qualifiers with SQL, stored procedures, and
-    ports that reach a source directly or through transformations.
+    ports that reach a source directly or through transformations. found: the folders of texts, where they are parsed.
     """
-    found = cut(mapping_xml.read_folders(texts))
+    found = cut(mapping_xml.read_folders(texts)) if found is None else found
     sessions = mapping_xml.sessions(found)
     known = found.select("folder", F.explode("x.MAPPING").alias("m")).select("folder", F.col("m._NAME").alias("mapping")).distinct()
     run, missing = sessions.join(known, ["folder", "mapping"]), sessions.join(known, ["folder", "mapping"], "left_anti")
@@ -155,11 +155,11 @@ def repository(texts: DataFrame, platform: str = "oracle", env: str = "PROD", db
     is a job and a dataset.
     """
     found = cut(mapping_xml.read_folders(texts))
-    edges, missing = session_lineage(texts, platform, env, db, schema)
+    edges, missing = session_lineage(texts, platform, env, db, schema, found)
     edges = cut(edges)
     flow = urns.flow_urn(flow_platform, F.col("folder"), flow_env)
     parts = [records.flow_info(found.select("folder").distinct(), flow, F.col("folder"), "Informatica folder", phase=0, k1=F.col("folder"))]
-    order = cut(workflow_order(texts))
+    order = cut(workflow_order(texts, found))
     flows = order.select("folder", "workflow").distinct()
     parts.append(records.job_info(flows, urns.job_urn(flow, F.col("workflow")), F.col("workflow"), "INFORMATICA_WORKFLOW", flow, phase=1, k1=F.col("folder"), k2=F.col("workflow")))
     sessions = order.withColumnRenamed("node", "session").join(mapping_xml.sessions(found), ["folder", "session"])
@@ -186,9 +186,9 @@ def repository(texts: DataFrame, platform: str = "oracle", env: str = "PROD", db
     return records.emit(parts, "infa"), lineage.summary(edges), missing
 
 
-def workflow_order(texts: DataFrame) -> DataFrame:
+def workflow_order(texts: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """folder, workflow, node, ord, depth, position: tasks in breadth-first order of their links (Start included)."""
-    found = mapping_xml.read_folders(texts)
+    found = cut(mapping_xml.read_folders(texts)) if found is None else found
     links = cut(mapping_xml.workflow_links(found))
     tasks = mapping_xml.workflow_tasks(found).where("task is not null").groupBy("folder", "workflow", F.col("task").alias("node")).agg(F.min("ord").alias("ord"))
     loose = links.select("folder", "workflow", F.col("src").alias("node")).union(links.select("folder", "workflow", "dst")).distinct()
