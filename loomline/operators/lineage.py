@@ -94,8 +94,14 @@ def edges_by_kind(edges: DataFrame) -> DataFrame:
 
 
 def session_mappings(sessions: DataFrame, mappings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Sessions with their mapping, and the sessions whose mapping is missing."""
-    return sessions.join(mappings, "mapping"), sessions.join(mappings, "mapping", "left_anti")
+    """Sessions with their mapping, and the sessions whose mapping is missing.
+
+    A session names a mapping of its own folder in its own export: both have file, folder and mapping. Another folder's
+    or another export's mapping of that name is a different one. Texts without a file name count as one export.
+    """
+    same = F.col("s.file").eqNullSafe(F.col("m.file")) & (F.col("s.folder") == F.col("m.folder")) & (F.col("s.mapping") == F.col("m.mapping"))
+    s, m = sessions.alias("s"), mappings.alias("m")
+    return s.join(m, same, "left_semi"), s.join(m, same, "left_anti")
 
 
 def scoped(items: DataFrame, inner: DataFrame, outer: DataFrame, value: str) -> DataFrame:

@@ -109,8 +109,7 @@ def infa_sql_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT 's_' || p_partkey AS session, 'M' || (p_partkey + 1000000) AS mapping FROM part WHERE p_partkey % 10 = 0")
 def missing_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     folders = _folders(spark, sf_dir)
-    known = folders.select(F.explode("x.MAPPING").alias("m")).select(F.col("m._NAME").alias("mapping")).distinct()
-    return lineage.session_mappings(mx.sessions(folders).select("session", "mapping"), known)[1].select("session", "mapping")
+    return lineage.session_mappings(mx.sessions(folders), mx.mappings(folders))[1].select("session", "mapping")
 
 
 @query(

@@ -52,6 +52,11 @@ def _mappings(folders: DataFrame) -> DataFrame:
     return folders.select("file", "folder", F.col("x.SOURCE").alias("fs"), F.col("x.TARGET").alias("ft"), F.col("x.TRANSFORMATION").alias("fx"), F.explode("x.MAPPING").alias("m")).withColumn("mapping", F.col("m._NAME"))
 
 
+def mappings(folders: DataFrame) -> DataFrame:
+    """file, folder, mapping: the mappings of each export, once."""
+    return folders.select("file", "folder", F.explode("x.MAPPING").alias("m")).select("file", "folder", F.col("m._NAME").alias("mapping")).distinct()
+
+
 def tables(folders: DataFrame) -> DataFrame:
     """folder, scope (a mapping, or empty for the folder), role, name, schema, db."""
     parts = []
@@ -116,10 +121,10 @@ def bound_tables(folders: DataFrame) -> DataFrame:
 
 
 def sessions(folders: DataFrame) -> DataFrame:
-    """folder, session, mapping, connections (name -> connection)."""
-    df = folders.select("folder", F.explode("x.SESSION").alias("s"))
+    """file, folder, session, mapping, connections (name -> connection)."""
+    df = folders.select("file", "folder", F.explode("x.SESSION").alias("s"))
     refs = F.transform("s.CONNECTIONREFERENCE", lambda c: F.concat_ws("=", c["_CNXREFNAME"], c["_CONNECTIONNAME"]))
-    return df.select("folder", F.col("s._NAME").alias("session"), F.col("s._MAPPINGNAME").alias("mapping"), F.coalesce(refs, F.array()).alias("connections"))
+    return df.select("file", "folder", F.col("s._NAME").alias("session"), F.col("s._MAPPINGNAME").alias("mapping"), F.coalesce(refs, F.array()).alias("connections"))
 
 
 def workflow_tasks(folders: DataFrame) -> DataFrame:
