@@ -275,3 +275,8 @@ def test_exports_of_one_folder_are_read_by_themselves(spark):
     edges, missing = pipelines.session_lineage(spark.createDataFrame(files, "file string, content string"))
     assert sorted((r.folder, r.session, r.source_column, r.target_column) for r in edges.collect()) == [("F", "s", "I", "I"), ("F", "s", "J", "I")]
     assert [(r.folder, r.session) for r in missing.collect()] == [("F", "lone")]
+
+
+def test_session_counts_by_export(spark, far_parts):
+    got, want = against_sql(spark, far_parts, "session_lineage")
+    assert got == want == [("CONNECTOR", "3", "1", "3")]
