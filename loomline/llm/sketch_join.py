@@ -9,7 +9,8 @@ of few bits, as long as no more than the spare groups have any: empty and nearly
 one common passage, are not joined on. Sets meet others of their own band and, where a partner may be larger, of the next.
 
 Equal sets form one class before anything is joined. In a bucket of equal parts the first RUN classes are compared with
-each other, and every later one with the first. Longer buckets in which a good part has linked by then, and others have
+each other, and every later one with the first; each bucket has an order of its own (unless spread is off), so that the classes of a crowd are
+compared with another of them in each bucket that they share, and most of what links does so here. Longer buckets in which a good part has linked by then, and others have
 not, go through rounds: classes outside the bucket's largest component are compared with a few classes of it, new links
 are added, components are made anew, and buckets of one component leave. Each round is linear in the buckets' entries.
 When few pairs are left there, or a round has linked nothing, or after ROUNDS of them, the classes outside the largest component of any longer
@@ -44,7 +45,7 @@ SPARE = 0.15
 RUN = 8
 #: Classes of a bucket's largest component that the others are compared with in a round; rounds go on while more pairs
 #: than this for each entry are left to compare.
-HUBS, FEW = 8, 64
+HUBS, FEW = 8, 1024
 #: Rounds at most. They change the cost, not the result: every round needs the components anew, which pays where the last
 #: step alone would compare and hand on very many pairs of one crowd.
 ROUNDS = 3
@@ -249,17 +250,17 @@ def _within(x: str, y: str, num: int, den: int) -> Column:
     return (F.abs(F.col(f"{x}.band") - F.col(f"{y}.band")) <= 1) & (apart * (den + num) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (den - num))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN, rounds: int = ROUNDS) -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN, rounds: int = ROUNDS, spread: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id for each row: components of the links of similarity num/den or more."""
-    nodes, classes = _components(docs, id_col, text_col, width, num, den, rounds)
+    nodes, classes = _components(docs, id_col, text_col, width, num, den, rounds, spread)
     out = nodes.select("doc", "n", "cid").join(classes.select("cid", "least"), "cid", "left")
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN, rounds: int = ROUNDS) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, num: int = NUM, den: int = DEN, rounds: int = ROUNDS, spread: bool = True) -> DataFrame:
     """docs with one row of each component: that of the least id (a row without an id only where none has one), then of
     the least hash of id and text. Rows alike in id and text are one row of a component. Texts without words all stay."""
-    nodes, classes = _components(docs, id_col, text_col, width, num, den, rounds)
+    nodes, classes = _components(docs, id_col, text_col, width, num, den, rounds, spread)
     key = free_name(docs, "rowkey")
     keyed = docs.withColumn(key, row_key(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")))
     spoken = nodes.where("n > 0").select("k", "cid")
@@ -280,7 +281,7 @@ def row_key(doc: Column, text: Column) -> Column:
     return F.xxhash64(doc, text)
 
 
-def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int, rounds: int) -> tuple[DataFrame, DataFrame]:
+def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int, rounds: int, spread: bool) -> tuple[DataFrame, DataFrame]:
     """A row (doc, k, n, cid) for each of docs, and for each class of equal sets (cid) the least id and the first row
     (first: nameless, doc, k) of its component."""
     bands = Bands(num, den)
@@ -288,7 +289,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, num: in
     base = docs.select(doc.alias("_doc"), row_key(doc, text).alias("_k"), text.alias("_text"))
     with setting(docs.sparkSession, CLEANUP, "true"):
         nodes = cut(base.mapInArrow(_classes(width, bands), f"doc long, k long, n long, cid long, {_INFO}"))
-        with spilled(_runs(base, width, bands)) as runs:
+        with spilled(_runs(base, width, bands, spread)) as runs:
             links = _links(base, nodes, runs, width, num, den, rounds)
         return nodes, _named(nodes, links)
 
@@ -304,9 +305,10 @@ def _named(nodes: DataFrame, links: DataFrame | None) -> DataFrame:
     return cut(classes)
 
 
-def _runs(base: DataFrame, width: int, bands: Bands) -> DataFrame:
-    """key, cid, lead, rank: classes by key where there are several, numbered, with the first of them."""
-    bucket = Window.partitionBy("key").orderBy("cid")
+def _runs(base: DataFrame, width: int, bands: Bands, spread: bool = True) -> DataFrame:
+    """key, cid, lead, rank: classes by key where there are several, numbered, with the first of them. With spread the
+    order is another one in each bucket, so the classes of a crowd, which meet in many, are compared with many leads."""
+    bucket = Window.partitionBy("key").orderBy(F.col("cid").bitwiseXOR(F.shiftleft("key", 16)) if spread else "cid")
     parts = base.mapInArrow(_keys(width, bands), "cid long, keys array<long>").select("cid", F.explode("keys").alias("key"))
     lead = F.first("cid").over(bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     runs = parts.select("key", "cid", lead.alias("lead"), F.dense_rank().over(bucket).alias("rank"), F.lead("cid").over(bucket).alias("after"))

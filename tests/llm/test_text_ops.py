@@ -147,6 +147,25 @@ def test_jaccard_rounds_of_a_long_bucket(spark, monkeypatch, hubs, few):
     assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=repr) == groups(rows, 3, 9, 10)
 
 
+def test_jaccard_crowd_needs_no_rounds(spark, monkeypatch):
+    """A crowd is compared with another class in each bucket; what is still apart, linked or not, takes one step more."""
+    rng = random.Random(11)
+    base, rows = [f"w{i}" for i in range(120)], []
+    for i in range(300):
+        w = list(base)
+        for at in rng.sample(range(120), rng.choice([0, 1, 1, 2, 3, 8, 9])):  # the last ones link with nothing
+            w[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    bands, calls, inner = sketch_join.Bands(9, 10), [], sketch_join.components
+    parts = docs(spark, rows).selectExpr("doc_id AS _doc", "doc_id AS _k", "text AS _text")
+    leads = [r.lead for r in sketch_join._runs(parts, 3, bands).where("rank = 50").select("key", "lead").distinct().collect()]
+    assert len(leads) > 10 and len(set(leads)) > len(leads) / 2
+    monkeypatch.setattr(sketch_join, "components", lambda links: calls.append(1) or inner(links))
+    got = sketch_join.jaccard_components(docs(spark, rows), width=3, num=9, den=10)
+    assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=repr) == groups(rows, 3, 9, 10)
+    assert len(calls) == 2
+
+
 def test_jaccard_of_nothing_and_of_copies(spark):
     assert sketch_join.jaccard_components(docs(spark, [])).count() == 0
     rows = [(i, "the same text of a few words " * 5) for i in range(300)]
