@@ -38,6 +38,8 @@ from loomline.llm import text as tx
 from loomline.session import cut
 
 K1, B, THRESHOLD, WIDTH, OVERLAP = 1.2, 0.75, 0.5, 5, 0.5
+#: Bytes of the texts that are searched at once: arrays of a search are several times that.
+CHUNK_BYTES = 1 << 20
 BLOCK, INDEX_ITEMS, INDEX_TOKENS, GROUP_TOKENS = 4, 512, 100_000, 2_000_000
 FOUND = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, word_offset long"
 
@@ -236,7 +238,7 @@ def _built(group: Group) -> list[Index]:
 def _search(group, threshold: float, overlap: float):
     def run(batches):
         built = _built(group.value)
-        for b in tx.chunks(batches, "text"):
+        for b in tx.chunks(batches, "text", CHUNK_BYTES):
             codes, ends, distinct = tx.encode(b["text"].to_pylist())
             ids = b["id"].to_pylist()
             rows = [(ids[d], *rest) for index in built for d, *rest in index.search(codes, ends, distinct, threshold, overlap)]
@@ -289,7 +291,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 def _without(group, text_col: str, threshold: float, overlap: float):
     def run(batches):
         built = _built(group.value)
-        for b in tx.chunks(batches, text_col):
+        for b in tx.chunks(batches, text_col, CHUNK_BYTES):
             encoded = tx.encode(b.column(text_col).to_pylist())
             keep = np.ones(b.num_rows, bool)
             keep[[row[0] for index in built for row in index.search(*encoded, threshold, overlap)]] = False

@@ -156,8 +156,12 @@ def _bitmaps(with_text: bool):
     return run
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, carry: list[str] | None = None) -> DataFrame:
-    """carry (default: the id) and n_lines, n_dropped, keep_bitmap for each row of docs."""
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, carry: list[str] | None = None, apply: bool = False) -> DataFrame:
+    """carry (default: the id) and n_lines, n_dropped, keep_bitmap for each row of docs.
+
+    With apply the bitmaps are applied to a carried text where they are made, and not returned: the rows of
+    apply_keep_bitmaps, with one Python worker a task instead of two, each of which would hold its memory on.
+    """
     carry = [c for c in (carry or [id_col]) if c not in ADDED]
     doc, row = F.col(id_col).cast("long"), F.xxhash64(F.col(text_col))
     lines = docs.where(doc.isNotNull() & (F.length(text_col) >= min_chars)).select(doc.alias("_doc"), row.alias("_row"), F.col(text_col).alias("_text")).mapInArrow(_emit(min_chars), "hi long, lo long, doc long, row long, at int")
@@ -175,10 +179,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = base.join(drops, ["_doc", "_row"], "left").select(*[f"c{i}" for i in range(len(kept))], "_text", "_drops")
     schema = T.StructType([T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(kept)])
     schema = schema.add("_text", "string") if with_text else schema
-    schema = schema.add("n_lines", "long").add("n_dropped", "long").add("keep_bitmap", "binary")
-    out = joined.mapInArrow(_bitmaps(with_text), schema)
+    schema = schema.add("n_lines", "long").add("n_dropped", "long")
+    apply = apply and with_text
+    out = joined.mapInArrow(_applied, schema) if apply else joined.mapInArrow(_bitmaps(with_text), schema.add("keep_bitmap", "binary"))
     place = {c: f"c{i}" for i, c in enumerate(kept)} | {text_col: "_text"}
-    return out.select(*[F.col(place[c]).alias(c) for c in carry], *ADDED)
+    return out.select(*[F.col(place[c]).alias(c) for c in carry], *[c for c in ADDED if c in out.columns])
 
 
 def _apply(text_col: str):
@@ -192,6 +197,11 @@ def _apply(text_col: str):
     return run
 
 
+def _applied(batches):
+    """Texts cut down by bitmaps made in the same worker."""
+    return _apply("_text")(_bitmaps(True)(batches))
+
+
 def apply_keep_bitmaps(df: DataFrame, text_col: str = "text") -> DataFrame:
     """df with its texts cut down to the kept lines, and without the bitmaps. No line left: the empty text."""
     rest = df.drop("keep_bitmap").schema

@@ -63,6 +63,18 @@ def test_line_dedup_hot_line_spans_partitions(spark):
     assert dedup(docs(spark, [])) == []
 
 
+def test_line_stage_takes_one_worker_a_task(spark):
+    import corpus_pipeline as cp
+
+    rows = [(i, f"the one line that all documents hold\nline of its own, number {i}\nshort") for i in range(20)] + [(30, None), (31, "")]
+    df = docs(spark, rows)
+    whole = line_dedup.dedup_lines(df, carry=["doc_id", "text"], apply=True)
+    apart = line_dedup.apply_keep_bitmaps(line_dedup.dedup_lines(df, carry=["doc_id", "text"]))
+    assert whole.columns == apart.columns and sorted(whole.collect()) == sorted(apart.collect())
+    plan = cp.lines(spark, df, "")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2  # drops by key, before the shuffle, and texts: no worker feeds another
+
+
 def test_line_dedup_range_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
